@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparktel.llm import sentencepiece_codec
+from sparktel.llm import decontamination, ngram_join, sentencepiece_codec, substring_dedup
 from sparktel.llm.common import table
 
 
@@ -20,13 +21,26 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), n=35)
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), share=20, n=13)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents"), n=5, percent=75)
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest_documents(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_sentencepiece,)}
+    return {f.__name__: f for f in (op3_substring_dedup, op5_decontamination, op8_ngram_jaccard_join, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_substring_dedup": substring_dedup.ORACLE, "op5_decontamination": decontamination.ORACLE, "op8_ngram_jaccard_join": ngram_join.ORACLE}
