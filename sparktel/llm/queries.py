@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktel.llm import decontamination, html_extraction, language_id, line_dedup, ngram_join, sentencepiece_codec, substring_dedup, token_store, warc
+from sparktel.llm import ann, decontamination, html_extraction, language_id, line_dedup, ngram_join, sentencepiece_codec, substring_dedup, token_store, warc
 from sparktel.llm.common import table
 
 
@@ -21,6 +21,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"), host="source").select("doc_id", "n_lines", "n_removed", "text")
 
@@ -61,7 +65,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest_documents(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
-_ALL = (op2_line_dedup, op3_substring_dedup, op4_language_id, op5_decontamination, op6_warc, op7_token_store, op8_ngram_jaccard_join, op9_html_extraction, op10_sentencepiece)
+_ALL = (op1_ann, op2_line_dedup, op3_substring_dedup, op4_language_id, op5_decontamination, op6_warc, op7_token_store, op8_ngram_jaccard_join, op9_html_extraction, op10_sentencepiece)
 _SQL = {"op2_line_dedup": line_dedup.ORACLE, "op3_substring_dedup": substring_dedup.ORACLE, "op5_decontamination": decontamination.ORACLE, "op6_warc": warc.ORACLE, "op8_ngram_jaccard_join": ngram_join.ORACLE}
 
 

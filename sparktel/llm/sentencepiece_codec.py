@@ -17,6 +17,7 @@ import heapq
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -272,7 +273,7 @@ def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", body: str
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 rows = [c.document(t) for t in part.column(1).to_pylist()]
-                cols = [part.column(0), pa.array([[int(i) for i in r[0].split()] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.int64())]
+                cols = [part.column(0), pa.array([np.fromstring(r[0], np.int32, sep=" ") for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols + [pa.array([r[2] for r in rows], pa.string())] * with_text, ["k", "ids", "n_tokens", "decoded"][: 3 + with_text])
 
     kind = docs.schema[key].dataType.simpleString()
