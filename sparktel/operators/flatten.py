@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Map column to the prefix of its columns; names from file metadata stay as they are.
@@ -16,7 +16,11 @@ def attribute_names(df: DataFrame) -> dict[str, list[str]]:
     spaces = [n for n in NAMESPACES if n in df.columns]
     if not spaces:
         return {}
-    tagged = F.concat(*[F.transform(F.coalesce(F.map_keys(n), F.array().cast("array<string>")), lambda k, n=n: F.struct(F.lit(n).alias("n"), k.alias("k"))) for n in spaces])
+
+    def keys(space: str) -> Column:
+        return F.transform(F.coalesce(F.map_keys(space), F.array().cast("array<string>")), lambda k: F.struct(F.lit(space).alias("n"), k.alias("k")))
+
+    tagged = F.concat(*[keys(n) for n in spaces])
     found = df.select(F.explode(tagged).alias("x")).select("x.*").distinct().collect()
     return {n: sorted(r["k"] for r in found if r["n"] == n) for n in spaces}
 
