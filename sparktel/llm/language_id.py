@@ -119,19 +119,25 @@ def train(sample: list[tuple[str, bytes]], landmarks: int = 160, ridge: float =
     turn = np.concatenate([np.arange((y == c).sum()) for c in range(len(labels))])
     marks = np.sort(np.argsort(turn, kind="stable")[:landmarks])
 
-    def rows(which: np.ndarray) -> np.ndarray:
-        flags = np.stack([np.unpackbits(np.frombuffer(sample[i][1], np.uint8)) for i in which]).reshape(len(which), len(ORDERS), WIDTH).astype(np.float32)
-        flags /= np.sqrt(np.maximum(flags.sum(axis=2, keepdims=True), 1))
-        return flags.reshape(len(which), -1)
-
-    base = rows(marks)
-    knm = np.concatenate([rows(np.arange(lo, min(lo + 64, len(sample)))) @ base.T for lo in range(0, len(sample), 64)]).astype(np.float64)
+    def rows(which: np.ndarray, order: int) -> np.ndarray:
+        """Scaled presence of one order; one order at a time bounds the driver's memory."""
+        size = WIDTH // 8
+        flags = np.stack([np.unpackbits(np.frombuffer(sample[i][1], np.uint8, size, order * size)) for i in which]).astype(np.float32)
+        flags /= np.sqrt(np.maximum(flags.sum(axis=1, keepdims=True), 1))
+        return flags
+
+    knm = np.zeros((len(sample), len(marks)))
+    for o in range(len(ORDERS)):
+        base = rows(marks, o).T
+        for lo in range(0, len(sample), 64):
+            which = np.arange(lo, min(lo + 64, len(sample)))
+            knm[which] += rows(which, o) @ base
     kmm = knm[marks]
     target = np.where(y[:, None] == np.arange(len(labels))[None, :], 1.0, -1.0)
     weight = 1.0 / np.bincount(y)[y][:, None]  # each label weighs the same
     left = knm.T @ (knm * weight) + ridge * kmm / len(marks) * len(labels) + 1e-9 * np.eye(len(marks)) * np.trace(kmm)
-    alpha = np.linalg.solve(left, knm.T @ (target * weight))
-    return Model(labels, (base.T @ alpha).astype(np.float32), 4.0)
+    alpha = np.linalg.solve(left, knm.T @ (target * weight)).astype(np.float32)
+    return Model(labels, np.concatenate([rows(marks, o).T @ alpha for o in range(len(ORDERS))]), 4.0)
 
 
 def fit(docs: DataFrame, key: str = "doc_id", label: str = "lang", body: str = "text", per_label: int = 200, most_labels: int = 200, landmarks: int = 160) -> Model:

@@ -59,9 +59,7 @@ class RunIndex:
     def compact(self) -> None:
         """One run for all: a hash is repeated if a run says so or two runs hold it."""
         old = self.runs
-        both = self.tables()[0]
-        for t in self.tables()[1:]:
-            both = both.unionByName(t)
+        both = self._plain()
         self.runs = []
         self._write(both.groupBy("hash").agg((F.max("repeated") | (F.count("*") > 1)).alias("repeated")))
         for name, path in old:
@@ -69,11 +67,11 @@ class RunIndex:
 
     def repeated(self) -> DataFrame:
         """Each repeated hash once."""
-        marked = [t.where("repeated").select("hash") for t in self.tables()]
-        both = marked[0]
-        for t in marked[1:]:
-            both = both.unionByName(t)
-        return both.distinct() if len(marked) > 1 else both
+        return self._plain().where("repeated").select("hash").distinct()
+
+    def _plain(self) -> DataFrame:
+        """All runs as files, without their buckets: a union of bucketed scans claims buckets that it doesn't keep apart."""
+        return self.spark.read.schema("hash bigint, repeated boolean").parquet(*[path for _, path in self.runs])
 
     def _forget(self, name: str, path: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
