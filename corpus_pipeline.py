@@ -2,7 +2,7 @@
 
 language_id      documents without a letter (or text) go; a missing lang is filled in
 line_dedup       boilerplate lines of a site (`source`) go from its documents; n_chars follows the text
-ngram_join       of each group of linked near-duplicates the document with the smallest doc_id stays
+ngram_join       of each group of linked near-duplicates the document with the smallest doc_id stays (null last)
 decontamination  documents with a twentieth or more of their words in benchmark windows go
 sentencepiece    whole texts to token ids
 
@@ -24,7 +24,7 @@ BROADCAST_BYTES = 32 << 20
 
 
 def _key(docs: DataFrame) -> Column:
-    return F.struct(F.col("doc_id").alias("id"), row_key(docs, "doc_id", "text").alias("h"))
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), row_key(docs, "doc_id", "text").alias("h"))
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
