@@ -35,7 +35,7 @@ _FOLD[128:] = np.arange(128, 256)
 _ASCII_LETTER = _FOLD[:] != _BLANK
 _ASCII_LETTER[128:] = False
 #: Texts scored by one matrix product.
-ROWS = 64
+ROWS = 32
 
 
 def presence(data: np.ndarray, out: np.ndarray) -> None:

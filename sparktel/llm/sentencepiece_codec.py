@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Entries of a worker's memo of encoded chunks; it is emptied when full, so memory stays bounded.
-MEMO = 800_000
+MEMO = 250_000
 
 
 class Codec:

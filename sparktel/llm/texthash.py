@@ -14,7 +14,7 @@ import pyarrow as pa
 
 _U = np.uint64
 #: Bytes of text hashed at once; a single longer text is handled alone.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:
