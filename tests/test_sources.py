@@ -169,3 +169,15 @@ def test_streams(spark, folder, tmp_path):
     logs = R.stream(spark, "logs", str(folder), "c", glob="l*").select("chq_fingerprint").writeStream.format("memory").queryName("lg").option("checkpointLocation", str(tmp_path / "b")).trigger(availableNow=True).start()
     logs.awaitTermination(120)
     assert spark.table("lg").count() == 3
+
+
+def test_sql_calls(spark, folder):
+    from sparktel.sources.sqlcalls import sql
+
+    got = sql(spark, f"SELECT chq_metric_type, count(*) AS n /* otel_logs_read('x') */ FROM otel_metrics_read('{folder}/m1.binpb', customer_id = 'c') WHERE 'otel_traces_read(''y'')' <> '' GROUP BY 1 ORDER BY 1").collect()
+    assert [tuple(r) for r in got] == [("count", 1), ("gauge", 1), ("histogram", 3)]
+    joined = sql(spark, f"SELECT count(*) FROM OTEL_LOGS_READ('{folder}/l.binpb', customer_id := 'c', file_metadata => '{{}}') l JOIN otel_traces_read('{folder}/t.binpb', customer_id='c') t ON l.trace_id = t.span_trace_id")
+    assert joined.first()[0] == 2
+    for bad in (f"SELECT * FROM otel_metrics_read('{folder}/m1.binpb')", f"SELECT * FROM otel_traces_read('{folder}/t.binpb', customer_id='c', x='y')"):
+        with pytest.raises(ValueError):
+            sql(spark, bad)
