@@ -34,7 +34,7 @@ BLOCK_BITS = 1 << 16
 SHARD_IDS = 1 << 22
 _HEAD, _ENTRY = struct.Struct("<8sQIIQQ"), np.dtype([("offset", "<u8"), ("bytes", "<u4"), ("coding", "<u4"), ("ones", "<u8")])
 #: Entries of a worker's memo of encoded units; emptied when full.
-MEMO = 600_000
+MEMO = 1_000_000
 
 
 def write_shard(out, ids: np.ndarray, keys: list[int | None], starts: np.ndarray) -> None:
@@ -48,12 +48,11 @@ def write_shard(out, ids: np.ndarray, keys: list[int | None], starts: np.ndarray
     at = _HEAD.size + planes * (8 + nblocks * _ENTRY.itemsize)
     seq = ids
     for p in range(planes - 1, -1, -1):
-        bit = (seq >> seq.dtype.type(p)) & seq.dtype.type(1)
-        mask = bit.astype(bool)
+        mask = (seq & seq.dtype.type(1 << p)) != 0
         packed = np.packbits(mask)
         lows = seq[~mask]
         entries = np.zeros(nblocks, _ENTRY)
-        per = np.add.reduceat(mask, np.arange(0, len(seq), BLOCK_BITS), dtype=np.int64) if nblocks else np.zeros(0, np.int64)
+        per = np.add.reduceat(np.bitwise_count(packed), np.arange(0, len(packed), BLOCK_BITS // 8), dtype=np.int64) if nblocks else np.zeros(0, np.int64)
         entries["ones"] = np.concatenate([[0], np.cumsum(per)[:-1]]) if nblocks else 0
         for b in range(nblocks):
             raw = packed[b * BLOCK_BITS // 8 : (b + 1) * BLOCK_BITS // 8].tobytes()
@@ -204,26 +203,47 @@ class Encoder:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
 
-    def units(self, text: str) -> list[str]:
-        """Parts that encode apart; the whole text where an added token or odd white space is in it."""
-        if any(s in text for s in self.special) or _ODD.search(text):
+    def units(self, text: str) -> list[str] | None:
+        """Parts that encode apart where blanks must be looked at closely, else None: then blanks alone part the text.
+
+        The whole text where an added token or odd white space is in it.
+        """
+        if any(s in text for s in self.special):
             return [text]
-        return _UNIT.findall(text)
+        if "  " not in text and text[-1] != " ":
+            return None
+        return [text] if _ODD.search(text) else _UNIT.findall(text)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [self.units(t) if t else [] for t in texts]
+        """Ids of each text.  A blank before a word belongs to it, so the memo's words are those after a blank."""
         if len(self.memo) > MEMO:
             self.memo.clear()
-        memo = self.memo
-        new = [u for u in dict.fromkeys(u for c in cut for u in c) if u not in memo]
-        own: dict[str, bytes] = {}
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            for u, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                (memo if len(u) < 64 else own)[u] = np.array(e.ids, self.kind).tobytes()
-        if own:
-            return [b"".join([memo.get(u) or own[u] for u in c]) for c in cut]
-        return [b"".join(map(memo.__getitem__, c)) for c in cut]
+        memo, own = self.memo, {}
+        cut: list[tuple[str, list[str]] | list[str]] = []
+        new: set[str] = set()
+        for t in texts:
+            units = self.units(t) if t else []
+            if units is None:
+                first, *words = t.split(" ")
+                new.update([w for w in words if w not in memo])
+                cut.append((first, words))
+            else:
+                cut.append(units)
+        todo = [f" {w}" for w in new] + list(dict.fromkeys(u for c in cut for u in ([c[0]] if isinstance(c, tuple) else c)))
+        for lo in range(0, len(todo), 4096):
+            part = todo[lo : lo + 4096]
+            for i, (u, e) in enumerate(zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True), lo):
+                if i < len(new):
+                    memo[u[1:]] = np.array(e.ids, self.kind).tobytes()
+                else:
+                    own[u] = np.array(e.ids, self.kind).tobytes()
+        out = []
+        for c in cut:
+            if isinstance(c, tuple):
+                out.append(own[c[0]] + b"".join(map(memo.__getitem__, c[1])))
+            else:
+                out.append(b"".join([own[u] for u in c]))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
