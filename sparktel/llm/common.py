@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -41,9 +42,16 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read again: cuts lineage and survives lost executors."""
     path = work_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files and broadcasts of plans that are done: it does so when the driver's references die."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

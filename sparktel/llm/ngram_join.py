@@ -6,10 +6,11 @@
 3. A class of n shingles sends its first n - ceil(t n) + 1; two classes that link share one of these.  Shingles that
    only one class sends are dropped by an aggregate before anything is paired.
 4. Candidates pass the length filter, the positional filter at their first common prefix shingle, and the suffix
-   filter (the overlap is at most the sum of the smaller counts over parts of the hash space).
+   filter: sets differ in at least as many shingles as the parities of their counts over 1024 parts of the hash space.
 5. Components, not all pairs, are asked for.  So `rounds` times each shingle's holders are only paired with one
    pivot among them, and the verified links are closed to components; then the pairs that share a prefix shingle but
-   lie in different components are verified, all of them.  Pairs within a component are never made, yet no link between
+   lie in different components are verified, all of them.  The first pivot is the holder with the fewest rarer
+   shingles: of edited copies, the one with the fewest edits, which links with most of the others.  Pairs within a component are never made, yet no link between
    components is missed.
 
 A link means 100 * |A and B| >= percent * |A or B| over exact word shingles, told apart by a 64-bit hash.
@@ -25,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparktel.llm import texthash as th
-from sparktel.llm.common import fits_broadcast, row_key, written
+from sparktel.llm.common import fits_broadcast, written
 
-#: Parts of the hash space for the suffix filter.
-PARTS = 16
+#: 64-bit words of the suffix filter's parities.
+PARITY_WORDS = 16
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -71,11 +72,13 @@ def _classes(docs: DataFrame, kind: str, n: int) -> DataFrame:
         for batch in batches:
             for lo, hi, row, hashes in shingle_sets(batch.column(1), n):
                 _, size, cls = _per_row(hi, lo, row, hashes)
-                parts = np.bincount(row * PARTS + (hashes >> np.uint64(60)).astype(np.int64), minlength=(hi - lo) * PARTS).astype(np.int32)
-                parts = pa.ListArray.from_arrays(pa.array(np.arange(0, len(parts) + 1, PARTS, dtype=np.int32)), pa.array(parts))
+                bits = np.zeros((hi - lo) * PARITY_WORDS * 64, np.uint8)
+                np.bitwise_xor.at(bits, row * PARITY_WORDS * 64 + (hashes >> np.uint64(20)).astype(np.int64) % (PARITY_WORDS * 64), 1)
+                words = np.packbits(bits).view(np.int64)
+                parts = pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, PARITY_WORDS, dtype=np.int32)), pa.array(words))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(th.signed(cls)), pa.array(size.astype(np.int32)), parts], ["key", "cls", "size", "parts"])
 
-    return docs.select("key", "text").mapInArrow(run, f"key {kind}, cls bigint, size int, parts array<int>")
+    return docs.select("key", "text").mapInArrow(run, f"key {kind}, cls bigint, size int, parts array<bigint>")
 
 
 def frequency_sketch(docs: DataFrame, n: int, bits: int) -> np.ndarray:
@@ -163,7 +166,11 @@ def link_components(docs: DataFrame, key: str = "doc_id", body: str = "text", n:
     src = docs.select(docs[key].alias("key"), F.coalesce(docs[body].cast("string"), F.lit("")).alias("text"))
     known = written(spark, _classes(src, kind, n), "classes")
     sketch = spark.sparkContext.broadcast(frequency_sketch(src, n, sketch_bits))
-    postings = _postings(src, n, percent, sketch_bits, sketch)
+    # Of equal sets only the rows with the smallest key send postings; a key that is the smallest of any set stays.
+    firsts = known.where("size > 0").groupBy("cls").agg(F.min("key").alias("least"))
+    copies = written(spark, known.where("key is not null").join(firsts, "cls").where("key != least").select("key").distinct().join(firsts.select(F.col("least").alias("key")), "key", "left_anti"), "copies")
+    once = src.join(F.broadcast(copies) if fits_broadcast(copies, 16, broadcast_bytes) else copies, "key", "left_anti")
+    postings = _postings(once, n, percent, sketch_bits, sketch)
     shared = postings.groupBy("token").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x < y").select("token")
     live = written(spark, postings.join(shared.hint("merge"), "token", "left_semi").dropDuplicates(["token", "cls"]), "postings")
 
@@ -193,18 +200,22 @@ def link_components(docs: DataFrame, key: str = "doc_id", body: str = "text", n:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         for s in "ab":
             pairs = pairs.join(parts.select(F.col("cls").alias(s), F.col("parts").alias(f"parts_{s}")), s)
-        most = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
-        pairs = pairs.where(most >= limit).select("a", "b")
+        differ = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+        pairs = written(spark, pairs.where(F.col("na") + F.col("nb") - differ >= 2 * limit).select("a", "b"), "pairs")
+        # Only texts of pairs travel; the pairs go to them if they are few, which is counted first.
+        few = fits_broadcast(pairs, 24, broadcast_bytes)
         for s in "ab":
-            pairs = pairs.join(texts.select(F.col("cls").alias(s), F.col("text").alias(f"t{s}")), s)
-        return written(spark, _verified(pairs, n, percent).distinct(), "verified")
+            ids = pairs.select(F.col(s).alias("cls")).distinct()
+            of = texts.join(F.broadcast(ids) if few else ids, "cls", "left_semi").select(F.col("cls").alias(s), F.col("text").alias(f"t{s}"))
+            rows = of.join(F.broadcast(pairs), s) if few and s == "a" else (pairs if s == "a" else rows).join(of, s)
+        return written(spark, _verified(rows, n, percent).distinct(), "verified")
 
     holder = F.struct(F.col("cls").alias("b"), F.col("size").alias("nb"), F.col("pos").alias("pb"), "comp")
     done, labels = None, None
     for r in range(rounds + 1):
         held = live.withColumn("comp", F.col("cls")) if labels is None else live.join(labels.select(F.col("node").alias("cls"), F.col("label").alias("l")), "cls", "left").withColumn("comp", F.coalesce("l", "cls")).drop("l")
         one = held.select("token", F.col("cls").alias("a"), F.col("size").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
-        mixed = held.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min_by(holder, F.xxhash64("cls", F.lit(r))).alias("h")).where("x < y")
+        mixed = held.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min_by(holder, F.struct(F.col("pos") if r == 0 else F.lit(0), F.xxhash64("cls", F.lit(r)))).alias("h")).where("x < y")
         if r < rounds:
             rows = one.join(mixed.select("token", "h.*"), "token").where("ca != comp")
         else:
@@ -214,7 +225,6 @@ def link_components(docs: DataFrame, key: str = "doc_id", body: str = "text", n:
         done = found if done is None else done.unionByName(found)
         labels = components(spark, done.where("linked").select("a", "b"))
 
-    firsts = known.where("size > 0").groupBy("cls").agg(F.min("key").alias("least"))
     groups = firsts.join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     ids = groups.join(groups.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("cls", "component_id")
     out = known.join(ids, "cls", "left")
