@@ -4,11 +4,12 @@
   group of components a codebook of residuals.  Everything else covers all rows.
 * Equal vectors are one class: its first k + 1 ids are kept, which is all that k results can use, so a vector with
   very many copies is indexed and scanned once.
-* Index: every class's cell and code, a written table sorted by cell.
+* Index: every class's cell, code, vector and its distance from what the code stands for, a written table sorted by cell.
 * Search: the queries come in blocks of `query_block`; a block is sent to all tasks, each streams its part of the
-  index and, for the cells that a query probes, sums asymmetric distances from the query's own tables.  A task keeps each query's `rerank`
-  best.
-* Reranking: the `rerank` best of each query overall are measured exactly, in double precision, on the original vectors.
+  index and, for the cells that a query probes, sums asymmetric distances from the query's own tables.
+* Reranking: by the triangle inequality a vector is no nearer than its asymmetric distance less its code's error.  The
+  task measures candidates exactly, in double precision on the original vectors, least bound first and `rerank` at a
+  time, until the bounds of all others are above its k-th best: no candidate of a probed cell is left out unproven.
 """
 
 from __future__ import annotations
@@ -67,7 +68,7 @@ class Quantizer:
         return cls(coarse, np.stack(books))
 
     def pad(self, x: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(x), self.books.shape[0] * self.books.shape[2]), np.float32)
+        out = np.zeros((len(x), self.books.shape[0] * self.books.shape[2]), x.dtype)
         out[:, : x.shape[1]] = x
         return out
 
@@ -77,6 +78,11 @@ class Quantizer:
         rest, width = self.pad(x - self.coarse[cell]), self.books.shape[2]
         return cell, np.stack([nearest(rest[:, g * width : (g + 1) * width], b) for g, b in enumerate(self.books)], axis=1).astype(np.uint8)
 
+    def errors(self, x: np.ndarray, cell: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Distance of each vector, in double precision, from what its cell and code stand for."""
+        rest = self.pad(x - self.coarse[cell]).reshape(len(x), self.books.shape[0], -1)
+        return np.sqrt(((rest - self.books[np.arange(len(self.books)), code]) ** 2).sum((1, 2)))
+
     def tables(self, q: np.ndarray, cell: int) -> np.ndarray:
         """Squared distances of each query's residual to every codebook entry: (queries, groups, 256)."""
         rest = self.pad(q - self.coarse[cell]).reshape(len(q), self.books.shape[0], 1, -1)
@@ -110,7 +116,7 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", body: str
     unique = rows.groupBy("c1", "c2", "id").agg(F.first("v").alias("v"))
     order = Window.partitionBy("c1", "c2").orderBy("id")
     members = written(spark, unique.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1), "ann-members")
-    classes = members.where("n = 1").select("c1", "c2", "v")
+    classes = members.where("n = 1").select("c1", "c2", "id", "v")
     count = classes.count()
     cells = cells or max(1, min(4096, round(count**0.5)))
     probes = min(cells, probes or max(8, -(-2 * cells // 3)))
@@ -124,10 +130,11 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", body: str
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = quantizer.value
         for batch in batches:
-            cell, code = q.encode(_matrix(batch.column(2), np.float32, d))
-            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary()), batch.column(0), batch.column(1)], ["cell", "code", "c1", "c2"])
+            x = _matrix(batch.column(3), np.float64, d)
+            cell, code = q.encode(x.astype(np.float32))
+            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(q.errors(x, cell, code)), *batch.columns], ["cell", "code", "error", "c1", "c2", "id", "v"])
 
-    placed = classes.select("c1", "c2", "v").mapInArrow(index, "cell int, code binary, c1 bigint, c2 bigint")
+    placed = classes.select("c1", "c2", "id", "v").mapInArrow(index, "cell int, code binary, error double, c1 bigint, c2 bigint, id bigint, v array<double>")
     table = written(spark, placed.repartition(shuffle_partitions(spark), F.col("cell")).sortWithinPartitions("cell"), "ann-index")
 
     asked = unique.select("id", "v").withColumnRenamed("id", key).where(is_query).withColumnRenamed(key, "id")
@@ -137,11 +144,11 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", body: str
     wrote = False
 
     def run(block: list[tuple[int, list[float]]]) -> None:
-        ids, q = np.array([b[0] for b in block]), np.array([b[1] for b in block], np.float64).astype(np.float32)
-        scan = _scan(spark.sparkContext.broadcast((ids, q)), quantizer, probes, rerank)
-        best = table.mapInArrow(scan, "query_id bigint, c1 bigint, c2 bigint, near float")
-        first = Window.partitionBy("query_id").orderBy("near", "c1", "c2")
-        best.withColumn("n", F.row_number().over(first)).where(F.col("n") <= rerank).select("query_id", "c1", "c2").write.mode("append").parquet(found)
+        ids, q = np.array([b[0] for b in block]), np.array([b[1] for b in block], np.float64)
+        scan = _scan(spark.sparkContext.broadcast((ids, q)), quantizer, probes, k + 1, rerank)
+        best = table.mapInArrow(scan, "query_id bigint, c1 bigint, c2 bigint, id bigint, score double")
+        first = Window.partitionBy("query_id").orderBy("score", "id")
+        best.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).select("query_id", "c1", "c2", "score").write.mode("append").parquet(found)
 
     for r in asked.toLocalIterator():
         block.append((r["id"], r["v"]))
@@ -153,47 +160,67 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", body: str
     elif not wrote:
         return spark.createDataFrame([], schema)
 
-    near = spark.read.schema("query_id bigint, c1 bigint, c2 bigint").parquet(found)
-    near = near.join(asked.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id").join(classes, ["c1", "c2"])
-    score = F.sqrt(F.aggregate(F.zip_with("q", "v", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
-    near = near.select("query_id", "c1", "c2", score.alias("score")).join(members.select("c1", "c2", F.col("id").alias("vec_id")), ["c1", "c2"]).where("query_id != vec_id")
+    near = spark.read.schema("query_id bigint, c1 bigint, c2 bigint, score double").parquet(found)
+    near = near.join(members.select("c1", "c2", F.col("id").alias("vec_id")), ["c1", "c2"]).where("query_id != vec_id")
     final = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return near.select("query_id", F.row_number().over(final).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
 
-def _scan(asked, quantizer, probes: int, rerank: int):
-    """The task of a search: index rows (cell, code, c1, c2) to each query's `rerank` best of them."""
+def _scan(asked, quantizer, probes: int, most: int, rerank: int):
+    """The task of a search: index rows to each query's `most` nearest classes of them, exactly measured, ties to the smaller id.
+
+    `most` is one more than the results, as the query's own class may hold no other row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quant, (ids, q) = quantizer.value, asked.value
-        far = distances(q, quant.coarse)
+        coarse = quant.coarse.astype(np.float64)
+        far = distances(q.astype(np.float32), quant.coarse)
         probed = np.argpartition(far, probes - 1, axis=1)[:, :probes] if probes < far.shape[1] else np.broadcast_to(np.arange(far.shape[1]), far.shape)
         who = np.zeros(far.shape, bool)
         np.put_along_axis(who, probed, True, axis=1)
-        best: dict[int, list[np.ndarray]] = {}
+        # What rounding in double precision can add to a bound, with a wide margin.
+        norm, middle = np.sqrt((q * q).sum(1)), np.sqrt((coarse * coarse).sum(1))
+        best: dict[int, tuple[np.ndarray, ...]] = {}
+        kth = np.full(len(q), np.inf)
         for batch in batches:
-            cell = batch.column(0).to_numpy()
+            cell, error = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             code = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(cell), -1)
-            c1, c2 = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            c1, c2, key = (batch.column(i).to_numpy() for i in (3, 4, 5))
+            x = _matrix(batch.column(6), np.float64, q.shape[1])
             for c in np.unique(cell).tolist():
                 at = np.flatnonzero(cell == c)
                 queries = np.flatnonzero(who[:, c])
                 for lo in range(0, len(queries), 64):
                     some = queries[lo : lo + 64]
                     lut = quant.tables(q[some], c)
-                    near = np.zeros((len(some), len(at)), np.float32)
+                    near = np.zeros((len(some), len(at)))
                     for g in range(code.shape[1]):
                         near += lut[:, g, code[at, g]]
+                    near = np.sqrt(near)
+                    least = near - error[at] - 1e-9 * (near + error[at] + norm[some, None] + middle[c])
                     for i, j in enumerate(some.tolist()):
-                        new = [near[i], c1[at], c2[at]]
-                        old = best.get(j)
-                        if old is not None:
-                            new = [np.concatenate(p) for p in zip(old, new, strict=True)]
-                        if len(new[0]) > rerank:
-                            keep = np.lexsort((new[2], new[1], new[0]))[:rerank]
-                            new = [p[keep] for p in new]
-                        best[j] = new
-        for j, (near, c1, c2) in best.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(near), ids[j])), pa.array(c1), pa.array(c2), pa.array(near.astype(np.float32))], ["query_id", "c1", "c2", "near"])
+                        left = np.flatnonzero(~(least[i] > kth[j]))  # a bound that isn't a number proves nothing
+                        if len(left) > rerank:
+                            left = left[np.argsort(least[i, left])]
+                        for start in range(0, len(left), rerank):
+                            part = left[start : start + rerank]
+                            part = at[part[~(least[i, part] > kth[j])]]
+                            # Summed in the order of the components, so that equal distances come out equal.
+                            score = np.sqrt(np.cumsum((q[j] - x[part]) ** 2, axis=1)[:, -1])
+                            good = score <= kth[j]
+                            part = part[good]
+                            if not len(part):
+                                continue
+                            new = (score[good], key[part], c1[part], c2[part])
+                            old = best.get(j)
+                            if old is not None:
+                                new = tuple(np.concatenate(p) for p in zip(old, new, strict=True))
+                            keep = np.lexsort((new[3], new[2], new[1], new[0]))[:most]
+                            best[j] = new = tuple(p[keep] for p in new)
+                            if len(keep) == most:
+                                kth[j] = new[0][-1]
+        for j, (score, key, c1, c2) in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(score), ids[j])), pa.array(c1), pa.array(c2), pa.array(key), pa.array(score)], ["query_id", "c1", "c2", "id", "score"])
 
     return run

@@ -53,6 +53,25 @@ def test_ann(spark):
     assert ann.search(few, F.lit(True)).groupBy("query_id").count().agg(F.max("count"), F.count("*")).first()[:] == (2, 3)
 
 
+def test_ann_of_near_copies(spark):
+    """Groups of near copies larger than `rerank`: all of a group share few codes, which can't tell them apart."""
+    r = np.random.default_rng(3)
+    x = r.normal(size=(6000, 64))
+    x[1000:1500] = x[1000] + r.normal(size=(500, 64)) * 0.016
+    x[2000:2900] = x[2000] + r.normal(size=(900, 64)) * 0.008
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    asked = list(range(1000, 1500, 25)) + list(range(2000, 2900, 45))
+    want = brute_nearest(rows, asked, 10)
+    got = {}
+    for y in ann.search(df, F.col("vec_id").isin(asked), k=10, groups=4, sample_rows=600).collect():
+        got.setdefault(y["query_id"], set()).add(y["vec_id"])
+    for group in (asked[:20], asked[20:]):
+        hits = sum(len({v for v, _ in want[q]} & got[q]) for q in group)
+        assert hits >= 0.99 * 10 * len(group), hits / (10 * len(group))
+
+
 def test_warc_files(tmp_path):
     pages = [(1, "http://a/ b<>", b"x" * 100_000), (2, None, b""), (None, "u\r\nx", "é".encode())]
     raw = b"".join(warc.record(p, u, b, None, False, "2024-01-01T00:00:00Z") for p, u, b in pages) + warc.record(9, "http://r", b"x" * 100_000, 1, True, "2024-01-01T00:00:00Z")
