@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 SILENT = frozenset("script style noscript template head title textarea select option iframe object svg math canvas audio video datalist".split())
 #: Of these, those whose content is not mark-up.
 RAW = frozenset("script style textarea title iframe noscript".split())
+#: What can stand in head; any other start tag ends an open head.
+HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol optgroup p pre search section summary table caption tbody td tfoot th thead tr ul".split())
 #: Start tags that end an open element of the second set, up to the nearest of the third.
@@ -113,6 +115,8 @@ def scan(page: str) -> list[Block]:
         write(page[at:lt])
         at = m.end()
         name = m[2].lower()
+        if not m[1] and name not in HEAD and stack and stack[-1][0] == "head":
+            drop(len(stack) - 1)
         if name == "br":
             write(" ")
             continue

@@ -113,6 +113,13 @@ def test_html_blocks():
     assert scan('<div title="a>b">x</div><textarea>no</textarea>') == ["x"]
 
 
+def test_html_head_without_end():
+    scan = lambda p: [b.text for b in html_extraction.scan(p)]
+    assert scan("<html><head><meta charset=utf-8><title>x</title><style>p{}</style><body><p>a<p>b") == ["a", "b"]
+    assert scan("<html><head><title>x</title><p>a</p></html>") == ["a"] and scan("<head><title>x</title><b>a</b> c") == ["a c"]
+    assert scan("<head><template><p>no</p></template><script>1</script></head><body>a") == ["a"]
+
+
 def test_html_accuracy(spark):
     field = html_extraction.trained()
     right = total = 0
