@@ -134,13 +134,11 @@ class Inflated:
         self.buffer += self.gz.decompress(raw, PIECE)
         return True
 
-    def until(self, mark: bytes, most: int = 1 << 20) -> bytes:
+    def until(self, mark: bytes) -> bytes:
         """Bytes up to and with mark; b'' at the end of the file."""
         at = 0
         while (i := self.buffer.find(mark, at)) < 0:
             at = max(0, len(self.buffer) - len(mark) + 1)
-            if len(self.buffer) > most:
-                raise ValueError("a record's head is too long")
             if not self._more():
                 if self.buffer.strip():
                     raise EOFError("the last record is cut off")
@@ -149,6 +147,12 @@ class Inflated:
         del self.buffer[: i + len(mark)]
         return out
 
+    def begins(self, mark: bytes) -> bool:
+        """Whether mark comes next, or a part of it before the end of the file."""
+        while len(self.buffer) < len(mark) and self._more():
+            pass
+        return self.buffer.startswith(mark[: len(self.buffer)])
+
     def pieces(self, n: int) -> Iterator[bytes]:
         while n:
             while not self.buffer:
@@ -187,6 +191,8 @@ def normalise_file(stream, out, index: Callable[[dict], None]) -> int:
     inflated, at, n = Inflated(stream), 0, 0
     while True:
         inflated.skip_blank()
+        if not inflated.begins(b"WARC/"):  # a head may have any length, so anything else is refused before its end is sought
+            raise ValueError("not a WARC record")
         raw = inflated.until(b"\r\n\r\n")
         if not raw:
             return n

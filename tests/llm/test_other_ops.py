@@ -88,6 +88,17 @@ def test_warc_files(tmp_path):
     assert warc.normalise_file(io.BytesIO(gzip.compress(b"")), io.BytesIO(), index.append) == 0
 
 
+def test_warc_long_head():
+    url = "http://a/" + "".join(random.Random(1).choices("abcdef0123456789", k=5 << 20))
+    raw = warc.record(1, url, b"x", None, False, "2024-01-01T00:00:00Z") + warc.record(2, "u", b"y", None, False, "2024-01-01T00:00:00Z")
+    out, index = io.BytesIO(), []
+    assert warc.normalise_file(io.BytesIO(gzip.compress(raw)), out, index.append) == 2 and gzip.decompress(out.getvalue()) == raw
+    assert [e["uri"] for e in index] == [url, "u"]
+    assert warc.read_member(io.BytesIO(out.getvalue()), index[0]["offset"], index[0]["length"])[0]["warc-target-uri"] == url
+    with pytest.raises(ValueError):
+        warc.normalise_file(io.BytesIO(gzip.compress(b"x" * 100)), io.BytesIO(), index.append)
+
+
 @pytest.mark.parametrize("limit", [16 << 20, 0])
 def test_warc_round_trip(spark, limit, monkeypatch):
     rows = [(1, "http://a", "same"), (7, "http://b", "same"), (3, None, "same"), (4, "u", None), (5, "u", ""), (6, "u", "é" * 5000), (None, "n", "alone"), (7, "http://c", "same")]
