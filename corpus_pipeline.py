@@ -4,7 +4,7 @@ language_id      documents without a letter (or text) go; a missing lang is fill
 line_dedup       boilerplate lines of a site (`source`) go from its documents; n_chars follows the text
 ngram_join       of each group of linked near-duplicates the document with the smallest doc_id stays (null last)
 decontamination  documents with a twentieth or more of their words in benchmark windows go
-sentencepiece    whole texts to token ids
+sentencepiece    whole texts to token ids, and the sha256 of the text that they decode to
 
 Rows are told apart by doc_id and text together, so null and repeated ids do no harm; of equal rows one stays.
 """
@@ -60,7 +60,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentencepiece_codec.encode_documents(docs, tokenizer("piece_bpe_32k.model"), with_text=False).select("doc_id", "n_tokens", "ids")
+    out = sentencepiece_codec.encode_documents(docs, tokenizer("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -206,3 +206,16 @@ def test_pipeline(spark):
     last = corpus_pipeline.STAGES[-1][1](spark, held, SF).collect()
     assert sorted(str(list(x["ids"])) for x in last) == sorted(str([*sp.encode(t), 2]) for _, t, _ in want)
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_pipeline_decodes(spark):
+    import corpus_pipeline
+    from sparktel.llm.queries import tokenizer
+
+    import sentencepiece
+
+    texts = ["plain words", " two  spaces ", "\u2581 \u4e2d \U0001f600", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer("piece_bpe_32k.model"))
+    got = {x["doc_id"]: x["decoded_sha256"] for x in corpus_pipeline.encode(spark, docs, SF).collect()}
+    assert got == {i: hashlib.sha256(sp.decode([*sp.encode(t), 2]).encode()).hexdigest() for i, t in enumerate(texts)}
