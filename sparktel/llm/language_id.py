@@ -8,12 +8,13 @@ Model: m landmarks of the training sample give the Nyström features K_xm; one-v
 (K_nm' K_nm + lambda K_mm) a = K_nm' y, is kernel ridge regression in the landmarks' span.  As the kernel is a sum of inner
 products of presence vectors, K_xm a is one matrix product of a batch's scaled presence matrix and the folded weights.
 
-The training sample is bounded: at most `per_label` whole texts a label (and `most_labels` labels), the rows with the
-smallest hashes, drawn over all rows.  Prediction reads every text whole, in blocks.
+The training sample is bounded: at most `per_label` whole texts a label, the rows with the smallest hashes, drawn over
+all rows; every label is learned.  Landmarks grow with the labels: `LABEL_MARKS` a label, if that is more.  Prediction reads every text whole, in blocks.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktel.llm import texthash as th
+from sparktel.llm.common import fits_broadcast, written
 
 ORDERS = (2, 3, 4)
 WIDTH = 1 << 16
@@ -34,6 +36,10 @@ _FOLD[65:91] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
 _ASCII_LETTER = _FOLD[:] != _BLANK
 _ASCII_LETTER[128:] = False
+#: Landmarks a label at least, as far as its texts go.
+LABEL_MARKS = 8
+#: Landmarks whose kernel columns are computed at once.
+MARKS = 640
 #: Texts scored by one matrix product.
 ROWS = 32
 
@@ -79,16 +85,18 @@ class Model:
         return total
 
 
-def draw(docs: DataFrame, key: Column, label: Column, body: Column, held_out: Column, per_label: int, most_labels: int) -> list[tuple[str, bytes]]:
-    """The bounded sample as (label, packed presence), sorted: a label's rows with the smallest key hashes."""
+def draw(docs: DataFrame, key: Column, label: Column, body: Column, held_out: Column, per_label: int, most_labels: int | None = None) -> list[tuple[str, bytes]]:
+    """The bounded sample as (label, packed and deflated presence), sorted: a label's rows with the smallest key hashes."""
     rows = docs.select(label.alias("label"), body.alias("text"), F.xxhash64(key.cast("string"), F.lit(3)).alias("h")).where(~held_out & label.isNotNull() & body.isNotNull())
-    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(most_labels).collect()
-    if not counts:
-        return []
+    counts = rows.groupBy("label").count()
+    if most_labels is not None:
+        counts = counts.orderBy(F.desc("count"), "label").limit(most_labels)
     # A threshold a label on the uniform hash: about 1.25 * per_label rows pass, wherever they are.
     span = float(1 << 64)
-    limit = F.create_map(*[x for r in counts for x in (F.lit(r["label"]), F.lit(min(1.0, (1.25 * per_label + 8) / r["count"])))])
-    rows = rows.where((F.col("h").cast("double") + span / 2) / span < F.coalesce(limit[F.col("label")], F.lit(0.0)))
+    counts = written(docs.sparkSession, counts.select("label", F.least(F.lit(1.0), F.lit(1.25 * per_label + 8) / F.col("count")).alias("limit")), "labels")
+    if fits_broadcast(counts, 64, 16 << 20):
+        counts = F.broadcast(counts)
+    rows = rows.join(counts, "label").where((F.col("h").cast("double") + span / 2) / span < F.col("limit"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.zeros((len(ORDERS), WIDTH), np.uint8)
@@ -100,7 +108,7 @@ def draw(docs: DataFrame, key: Column, label: Column, body: Column, held_out: Co
                 good.append(has_letter(raw))
                 if good[-1]:
                     presence(raw, flags)
-                    packed.append(np.packbits(flags).tobytes())
+                    packed.append(zlib.compress(np.packbits(flags).tobytes(), 1))
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(2).filter(keep), pa.array(packed, pa.binary())], ["label", "h", "packed"])
 
@@ -111,37 +119,44 @@ def draw(docs: DataFrame, key: Column, label: Column, body: Column, held_out: Co
 
 
 def train(sample: list[tuple[str, bytes]], landmarks: int = 160, ridge: float = 1e-2) -> Model:
-    """Landmarks are dealt evenly to the labels; deterministic in the sample."""
+    """Landmarks are dealt evenly to the labels, `LABEL_MARKS` each at least; deterministic in the sample."""
     labels = sorted({k for k, _ in sample})
     if not labels:
         return Model([], np.zeros((len(ORDERS) * WIDTH, 0), np.float32), 1.0)
-    y = np.array([labels.index(k) for k, _ in sample])
+    place = {k: i for i, k in enumerate(labels)}
+    y = np.array([place[k] for k, _ in sample])
+    landmarks = max(landmarks, LABEL_MARKS * len(labels))
     turn = np.concatenate([np.arange((y == c).sum()) for c in range(len(labels))])
     marks = np.sort(np.argsort(turn, kind="stable")[:landmarks])
 
     def rows(which: np.ndarray, order: int) -> np.ndarray:
         """Scaled presence of one order; one order at a time bounds the driver's memory."""
         size = WIDTH // 8
-        flags = np.stack([np.unpackbits(np.frombuffer(sample[i][1], np.uint8, size, order * size)) for i in which]).astype(np.float32)
+        flags = np.stack([np.unpackbits(np.frombuffer(zlib.decompress(sample[i][1]), np.uint8, size, order * size)) for i in which]).astype(np.float32)
         flags /= np.sqrt(np.maximum(flags.sum(axis=1, keepdims=True), 1))
         return flags
 
     knm = np.zeros((len(sample), len(marks)))
     for o in range(len(ORDERS)):
-        base = rows(marks, o).T
-        for lo in range(0, len(sample), 64):
-            which = np.arange(lo, min(lo + 64, len(sample)))
-            knm[which] += rows(which, o) @ base
+        for first in range(0, len(marks), MARKS):
+            base = rows(marks[first : first + MARKS], o).T
+            for lo in range(0, len(sample), 64):
+                which = np.arange(lo, min(lo + 64, len(sample)))
+                knm[which, first : first + MARKS] += rows(which, o) @ base
     kmm = knm[marks]
     target = np.where(y[:, None] == np.arange(len(labels))[None, :], 1.0, -1.0)
     weight = 1.0 / np.bincount(y)[y][:, None]  # each label weighs the same
     left = knm.T @ (knm * weight) + ridge * kmm / len(marks) * len(labels) + 1e-9 * np.eye(len(marks)) * np.trace(kmm)
     alpha = np.linalg.solve(left, knm.T @ (target * weight)).astype(np.float32)
-    return Model(labels, np.concatenate([rows(marks, o).T @ alpha for o in range(len(ORDERS))]), 4.0)
+    weights = np.zeros((len(ORDERS) * WIDTH, len(labels)), np.float32)
+    for o in range(len(ORDERS)):
+        for first in range(0, len(marks), MARKS):
+            weights[o * WIDTH : (o + 1) * WIDTH] += rows(marks[first : first + MARKS], o).T @ alpha[first : first + MARKS]
+    return Model(labels, weights, 4.0)
 
 
-def fit(docs: DataFrame, key: str = "doc_id", label: str = "lang", body: str = "text", per_label: int = 200, most_labels: int = 200, landmarks: int = 160) -> Model:
-    """Learn from the rows that held_out() leaves."""
+def fit(docs: DataFrame, key: str = "doc_id", label: str = "lang", body: str = "text", per_label: int = 200, most_labels: int | None = None, landmarks: int = 160) -> Model:
+    """Learn from the rows that held_out() leaves; all labels, or the `most_labels` commonest."""
     sample = draw(docs, docs[key], docs[label].cast("string"), docs[body].cast("string"), held_out(docs[key]), per_label, most_labels)
     return train(sample, landmarks)
 

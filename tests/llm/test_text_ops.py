@@ -215,6 +215,16 @@ def test_language_id(spark, empty):
         language_id.predict(df.withColumn("SCORE", F.lit(1)), model)
 
 
+def test_language_id_of_many_labels(spark):
+    rows = [(5 * i + j, f"{chr(0x4E00 + i)}{chr(0x5E00 + i)} " * 3, f"l{i:03}") for i in range(230) for j in range(5)]
+    rows += [(i, "abc def", "l000") for i in range(2000, 2040)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.fit(df, per_label=4)
+    assert model.labels == sorted({k for _, _, k in rows})
+    out = language_id.predict(df.where("doc_id < 1150"), model).collect()
+    assert sum(o["lang_pred"] == o["lang"] for o in out) >= 0.98 * len(out)
+
+
 # -- 7 -----------------------------------------------------------------------------------------------------------
 
 
