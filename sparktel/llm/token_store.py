@@ -14,18 +14,22 @@ read and inflated only when it is needed, so access, counting and occurrence loo
 from __future__ import annotations
 
 import os
+import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import re
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparktel.llm import files
+from sparktel.llm import texthash as th
 from sparktel.llm.common import shuffle_partitions, work_dir, written
 
 MAGIC = b"SPTLWM1\n"
@@ -33,8 +37,12 @@ BLOCK_BITS = 1 << 16
 #: Ids of a shard before the next one begins; a longer single text has a shard of its own.
 SHARD_IDS = 1 << 22
 _HEAD, _ENTRY = struct.Struct("<8sQIIQQ"), np.dtype([("offset", "<u8"), ("bytes", "<u4"), ("coding", "<u4"), ("ones", "<u8")])
-#: Entries of a worker's memo of encoded units; emptied when full.
+#: Entries of a worker's memo of encoded units, unless a block has more of its own.
 MEMO = 1_000_000
+#: How a byte-level vocabulary writes a blank.
+BLANK = "\u0120"
+#: Bytes of text encoded at once; a single longer text is handled alone.
+ENCODED_BYTES = 12 << 20
 
 
 def write_shard(out, ids: np.ndarray, keys: list[int | None], starts: np.ndarray) -> None:
@@ -50,7 +58,7 @@ def write_shard(out, ids: np.ndarray, keys: list[int | None], starts: np.ndarray
     for p in range(planes - 1, -1, -1):
         mask = (seq & seq.dtype.type(1 << p)) != 0
         packed = np.packbits(mask)
-        lows = seq[~mask]
+        lows = seq.compress(~mask)  # unlike an index by booleans, it doesn't branch on random bits
         entries = np.zeros(nblocks, _ENTRY)
         per = np.add.reduceat(np.bitwise_count(packed), np.arange(0, len(packed), BLOCK_BITS // 8), dtype=np.int64) if nblocks else np.zeros(0, np.int64)
         entries["ones"] = np.concatenate([[0], np.cumsum(per)[:-1]]) if nblocks else 0
@@ -62,7 +70,7 @@ def write_shard(out, ids: np.ndarray, keys: list[int | None], starts: np.ndarray
             entries[b]["offset"], entries[b]["bytes"], entries[b]["coding"] = at, len(body[-1]), coding
             at += len(body[-1])
         head.append(struct.pack("<Q", len(lows)) + entries.tobytes())
-        seq = np.concatenate([lows, seq[mask]])
+        seq = np.concatenate([lows, seq.compress(mask)])
     null = np.array([k is None for k in keys], np.uint8)
     docs = squeeze(np.asarray(starts, "<i8").tobytes() + np.array([k or 0 for k in keys], "<i8").tobytes() + null.tobytes())
     out.write(_HEAD.pack(MAGIC, len(ids), planes, BLOCK_BITS, len(keys), at) + b"".join(head))
@@ -168,8 +176,8 @@ class Shard:
             plane = b"".join([self._inflate(raw[int(o) - base : int(o) - base + int(n)], int(c)) for o, n, c in zip(e["offset"], e["bytes"], e["coding"], strict=True)])
             mask = np.unpackbits(np.frombuffer(plane, np.uint8))[: self.n].view(bool)
             out = np.empty(self.n, kind)
-            out[~mask] = seq[: self.zeros[p]]
-            out[mask] = seq[self.zeros[p] :] | kind(1 << (self.planes - 1 - p))
+            out[np.flatnonzero(~mask)] = seq[: self.zeros[p]]
+            out[np.flatnonzero(mask)] = seq[self.zeros[p] :] | kind(1 << (self.planes - 1 - p))
             seq = out
         return seq
 
@@ -185,65 +193,162 @@ class Shard:
         return [None if x else k for k, x in zip(keys, null.tolist(), strict=True)], starts
 
 
-#: A word with the space before it, or white space: no token of a byte-level model crosses these.
-_UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-#: White space to Python but not to the tokenizer.
-_ODD = re.compile("[\x1c-\x1f]")
+#: Blanks between two characters that aren't white space: the tokenizer parts a text there whatever stands around, and
+#: the blank belongs to what follows.  Python's white space holds the tokenizer's and U+001C..U+001F, which is safe.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+#: ASCII punctuation, none of which is a letter, number or white space to the tokenizer, and words that are letters to it.
+_FINAL, _LETTERS = string.punctuation, "^[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+$"
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, which sees each distinct unit once a worker."""
+    """Ids of whole texts by the tokenizers library, which sees each distinct unit once a worker.
+
+    A unit is what stands between two cuts.  A block of texts is parted at every blank by Arrow and its distinct parts
+    are looked up once; where a part shows that some blank is no cut, its text is parted by `_CUT` instead.  The memo is
+    three arrays: units, their ids, and the edges of each one's ids.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.kind = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
-
-    def units(self, text: str) -> list[str] | None:
-        """Parts that encode apart where blanks must be looked at closely, else None: then blanks alone part the text.
-
-        The whole text where an added token or odd white space is in it.
+        #: Whether a token begins with a blank, which a byte-level vocabulary writes as BLANK.
+        self.blank = np.zeros(self.tok.get_vocab_size(), bool)
+        self.blank[[i for token, i in self.tok.get_vocab().items() if token[0] == BLANK]] = True
+        #: The same model for blanks and ASCII letters alone, which need no pre-tokenization.
+        self.letters = Tokenizer(self.tok.model)
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.keys, self.ids, self.edges = pa.array([], pa.string()), np.zeros(0, self.kind), np.zeros(1, np.int64)
+
+    def _flat(self, tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, and how many each has."""
+        ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), self.kind), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _new(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order of units, and in it their ids after a blank and how many each has.
+
+        Units without blanks are joined: then only the first token of each begins with a blank.
+        """
+        inner = pc.match_substring(units, " ").to_numpy(zero_copy_only=False)
+        simple = pc.match_substring_regex(units, "^[A-Za-z]+$").to_numpy(zero_copy_only=False)
+        order, flats, sizes = [], [], []
+        for which, tokenizer, lead, between in ((simple, self.letters, BLANK, f" {BLANK}"), (~(simple | inner), self.tok, " ", " ")):
+            at = np.flatnonzero(which)
+            some = units.take(pa.array(at)).to_pylist()
+            flat, _ = self._flat(tokenizer, [lead + between.join(some[lo : lo + 4096]) for lo in range(0, len(some), 4096)])
+            order.append(at)
+            flats.append(flat)
+            sizes.append(np.diff(np.append(np.flatnonzero(self.blank[flat]), len(flat))))
+        at = np.flatnonzero(inner)
+        flat, size = self._flat(self.tok, [f" {u}" for u in units.take(pa.array(at)).to_pylist()])
+        return np.concatenate([*order, at]), np.concatenate([*flats, flat]), np.concatenate([*sizes, size])
+
+    def _known(self, units: pa.Array) -> np.ndarray:
+        """Places of distinct units in the memo, which holds all of them from then on; if it gets full, it forgets others."""
+        at = pc.index_in(units, value_set=self.keys)
+        if len(self.keys) + at.null_count > MEMO:
+            keep = np.sort(at.drop_null().to_numpy())
+            self.keys, size = self.keys.take(pa.array(keep)), np.diff(self.edges)[keep]
+            starts, self.edges = self.edges[keep], np.append(0, np.cumsum(size))
+            self.ids = self.ids[np.repeat(starts - self.edges[:-1], size) + np.arange(self.edges[-1])]
+            at = pc.index_in(units, value_set=self.keys)
+        new = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        at = at.fill_null(0).to_numpy().copy()
+        if len(new):
+            order, ids, sizes = self._new(units.take(pa.array(new)))
+            new = new[order]
+            at[new] = len(self.keys) + np.arange(len(new))
+            self.keys = pa.concat_arrays([self.keys, units.take(pa.array(new))])
+            self.ids = np.concatenate([self.ids, ids])
+            self.edges = np.concatenate([self.edges, self.edges[-1] + np.cumsum(sizes)])
+        return at
+
+    def _after_blank(self, words: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """Of distinct words with a blank before each: the place of its stem in the memo; the tails, and the place of its tail.
+
+        A word of letters and final punctuation encodes as two, so its stem is looked up without the punctuation; any
+        other is a stem with an empty tail.
         """
-        if any(s in text for s in self.special):
-            return [text]
-        if "  " not in text and text[-1] != " ":
-            return None
-        return [text] if _ODD.search(text) else _UNIT.findall(text)
+        core = pc.utf8_rtrim(words, characters=_FINAL)
+        core = pc.if_else(pc.match_substring_regex(core, _LETTERS), core, words)
+        stems = core.dictionary_encode()
+        size = pc.subtract(pc.binary_length(words), pc.binary_length(core)).to_numpy()
+        data, offs = th.string_buffers(words)
+        edges = np.zeros(len(words) + 1, np.int32)
+        np.cumsum(size, out=edges[1:])
+        cut = np.repeat(offs[1:] - edges[1:], size) + np.arange(edges[-1])
+        tails = pa.StringArray.from_buffers(len(words), pa.py_buffer(edges), pa.py_buffer(data[cut])).dictionary_encode()
+        return self._known(stems.dictionary)[stems.indices.to_numpy()], tails.dictionary, tails.indices.to_numpy()
+
+    def _parts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, list[str]]:
+        """Edges of each text's units, each unit's place in the distinct ones, these, and each text's first unit."""
+        lists = pc.split_pattern(column, " ")
+        coded = lists.flatten().dictionary_encode()
+        edges, place, words = lists.offsets.to_numpy().astype(np.int64), coded.indices.to_numpy(), coded.dictionary
+        edges -= edges[0]
+        bad = pc.or_(pc.equal(words, ""), pc.not_equal(words, pc.utf8_trim_whitespace(words))).to_numpy(zero_copy_only=False)
+        odd = np.zeros(len(column), bool)
+        odd[np.searchsorted(edges, np.flatnonzero(bad[place]), side="right") - 1] = True
+        for s in self.special:
+            odd |= pc.match_substring(column, s).to_numpy(zero_copy_only=False)
+        first = words.take(pa.array(place[edges[:-1]])).to_pylist()
+        if odd.any():
+            known = {w: i for i, w in enumerate(words.to_pylist())}
+            pieces: list[np.ndarray] = []
+            for r, strange in enumerate(odd.tolist()):
+                if not strange:
+                    pieces.append(place[edges[r] : edges[r + 1]])
+                    continue
+                text = column[r].as_py()
+                units = [text] if any(s in text for s in self.special) else _CUT.split(text)
+                first[r] = units[0]
+                pieces.append(np.array([0, *(known.setdefault(u, len(known)) for u in units[1:])], np.int32))
+            words = pa.array(list(known), pa.string())
+            place, edges = np.concatenate(pieces), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+        return edges, place, words, first
+
+    def block(self, column: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a block of texts, each followed by `end` unless None, and the edges of each text's ids."""
+        edges, place, words, first = self._parts(column)
+        starts = edges[:-1]
+        rest = np.ones(len(place), bool)
+        rest[starts] = False
+        used = np.zeros(len(words), bool)
+        used[place[rest]] = True
+        used = np.flatnonzero(used)
+        own = list(dict.fromkeys(first))
+        stem, tails, tail = self._after_blank(words.take(pa.array(used)))
+        # Ids by unit: the memo's, those of the tails and first units, the end, and nothing.
+        more, counts = self._flat(self.tok, [*tails.to_pylist(), *own])
+        ends = np.array([] if end is None else [end], self.kind)
+        flat = np.concatenate([self.ids, more, ends])
+        sizes = np.concatenate([np.diff(self.edges), counts, [len(ends), 0]]).astype(np.int32)
+        lead = np.cumsum(sizes, dtype=np.int32) - sizes
+        nothing, last = len(sizes) - 1, len(sizes) - 2
+        pairs = np.zeros((len(words), 2), np.int32)  # a block has fewer ids than bytes: 32 bits hold its places
+        pairs[used, 0], pairs[used, 1] = stem, len(self.keys) + tail
+        unit = pairs[place]
+        at = {u: last - len(own) + i for i, u in enumerate(own)}
+        unit[starts] = [[at[u], nothing] for u in first]
+        unit = np.insert(unit.ravel(), 2 * edges[1:], last)  # a text's last unit is its end
+        many = sizes[unit]
+        to = np.zeros(len(many) + 1, np.int32)
+        np.cumsum(many, out=to[1:])
+        place = np.repeat(lead[unit] - to[:-1], many)
+        place += np.arange(to[-1], dtype=np.int32)
+        return flat.take(place), to[2 * edges + np.arange(len(edges))].astype(np.int64)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text.  A blank before a word belongs to it, so the memo's words are those after a blank."""
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        memo, own = self.memo, {}
-        cut: list[tuple[str, list[str]] | list[str]] = []
-        new: set[str] = set()
-        for t in texts:
-            units = self.units(t) if t else []
-            if units is None:
-                first, *words = t.split(" ")
-                new.update([w for w in words if w not in memo])
-                cut.append((first, words))
-            else:
-                cut.append(units)
-        todo = [f" {w}" for w in new] + list(dict.fromkeys(u for c in cut for u in ([c[0]] if isinstance(c, tuple) else c)))
-        for lo in range(0, len(todo), 4096):
-            part = todo[lo : lo + 4096]
-            for i, (u, e) in enumerate(zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True), lo):
-                if i < len(new):
-                    memo[u[1:]] = np.array(e.ids, self.kind).tobytes()
-                else:
-                    own[u] = np.array(e.ids, self.kind).tobytes()
-        out = []
-        for c in cut:
-            if isinstance(c, tuple):
-                out.append(own[c[0]] + b"".join(map(memo.__getitem__, c[1])))
-            else:
-                out.append(b"".join([own[u] for u in c]))
-        return out
+        """Ids of each text; null counts as empty."""
+        if not texts:
+            return []
+        ids, edges = self.block(pa.array([t or "" for t in texts], pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -267,8 +372,7 @@ def write_tokens(docs: DataFrame, model: str, folder: str, end_id: int, key: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, seq = encoder(model), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], enc.kind).tobytes()
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
         keys: list[int | None] = []
         sizes: list[int] = []
 
@@ -277,24 +381,26 @@ def write_tokens(docs: DataFrame, model: str, folder: str, end_id: int, key: str
             path = files.join(folder, files.attempt_name(f"tokens-{part:06d}-{seq:06d}", ".wvt"))
             starts = np.concatenate([[0], np.cumsum(sizes)])
             with files.create(path) as out:
-                write_shard(out, np.frombuffer(b"".join(parts), enc.kind), keys, starts)
+                write_shard(out, np.concatenate(parts), keys, starts)
             row = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path], "n_tokens": pa.array([int(starts[-1])], pa.int64()), "n_docs": pa.array([len(keys)], pa.int64())})
             parts, keys, sizes, seq = [], [], [], seq + 1
             return row
 
         total = 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
-                for k, ids in zip(some.column(0).to_pylist(), enc.encode(some.column(1).to_pylist()), strict=True):
-                    size = (len(ids) + len(end)) // len(end)
+            _, offs = th.string_buffers(batch.column(1))
+            for lo, hi in th.blocks(offs, ENCODED_BYTES):
+                ids, edges = enc.block(batch.column(1).slice(lo, hi - lo).fill_null(""), end_id)
+                sent = 0
+                for r, (k, size) in enumerate(zip(batch.column(0).slice(lo, hi - lo).to_pylist(), np.diff(edges).tolist(), strict=True)):
                     if keys and total + size > SHARD_IDS:
+                        parts.append(ids[sent : edges[r]])
+                        sent, total = edges[r], 0
                         yield flush()
-                        total = 0
-                    parts += (ids, end)
                     keys.append(k)
                     sizes.append(size)
                     total += size
+                parts.append(ids[sent:])
         if keys:
             yield flush()
 

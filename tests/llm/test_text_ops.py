@@ -1,11 +1,14 @@
 """Operators over documents against brute force, on small tables with nulls, ties, repeats, long and empty texts."""
 
 import hashlib
+import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -253,6 +256,36 @@ def test_encoder_units():
     assert [np.frombuffer(x, enc.kind).tolist() for x in enc.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_encoder_of_all_short_texts():
+    """White space of every kind next to a blank: only a blank between other characters is a cut."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer("byte_bpe_50k.json")
+    enc, tok = token_store.encoder(path), Tokenizer.from_file(path)
+    for alphabet, longest in (("a \n\xa0\t", 7), ("a1.' \n\t\r\xa0\u2003\u3000\u1680\x1c\x85", 4)):
+        for n in range(longest + 1):
+            texts = ["".join(t) for t in itertools.product(alphabet, repeat=n)]
+            want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+            ids, edges = enc.block(pa.array(texts, pa.string()))
+            assert [ids[a:b].tolist() for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False)] == want
+    ids, edges = enc.block(pa.array(["a b", "", "<|endoftext|> x"], pa.string()), 2)
+    assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:], strict=False)] == [[*tok.encode(t).ids, 2] for t in ("a b", "", "<|endoftext|> x")]
+
+
+def test_encoder_forgets(monkeypatch):
+    """A memo smaller than the units of a block, and blocks that share some of them."""
+    from tokenizers import Tokenizer
+
+    path, r = tokenizer("byte_bpe_50k.json"), random.Random(8)
+    monkeypatch.setattr(token_store, "MEMO", 40)
+    enc, tok = token_store.Encoder(path), Tokenizer.from_file(path)
+    words = [f"{a}{b}{c}" for a in ("run", "Stra\u00dfe", "x1", "\u4e2d") for b in ("", "ning", "\n") for c in ("", ".", "!?", "'", "'s", "a\u0301")]
+    for _ in range(20):
+        texts = [" ".join(r.choices(words, k=r.randint(0, 30))) for _ in range(5)]
+        assert [np.frombuffer(x, enc.kind).tolist() for x in enc.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(enc.keys) <= 40 + len(words)
+
+
 @pytest.mark.parametrize("n,kind", [(0, np.uint16), (1, np.uint16), (70_000, np.uint16), (200_003, np.uint32)])
 def test_wavelet_matrix(tmp_path, n, kind):
     r = np.random.default_rng(n)
@@ -298,3 +331,17 @@ def test_sentencepiece(spark, docs, empty):
     assert sentencepiece_codec.encode_documents(empty, path).count() == 0
     with pytest.raises(Exception):
         sentencepiece_codec.Codec("/nope.model")
+
+
+def test_sentencepiece_of_long_words():
+    """Texts of a megabyte without blanks: time and memory grow with the text."""
+    import sentencepiece
+
+    path = tokenizer("piece_bpe_32k.model")
+    sp, c, r = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_codec.codec(path), random.Random(9)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "\u4e2d\u6587\u5b57\u7684\u662f\u4e00", "ab"):
+        text = "".join(r.choices(alphabet, k=300_000))
+        assert c.encode(text) == sp.encode(text)
+    start = time.process_time()
+    c.encode("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000)))
+    assert time.process_time() - start < 30
