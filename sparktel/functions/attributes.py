@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ RESOURCE_KEYS = (
     "app", "container_image_name", "container_image_tag", "k8s_cluster_name", "k8s_daemonset_name", "k8s_deployment_name",
     "k8s_namespace_name", "k8s_pod_ip", "k8s_pod_name", "k8s_statefulset_name", "service_name", "service_version",
 )
+#: Labels of the wire's numbers.
 SPAN_KINDS = ("SPAN_KIND_UNSPECIFIED", "SPAN_KIND_INTERNAL", "SPAN_KIND_SERVER", "SPAN_KIND_CLIENT", "SPAN_KIND_PRODUCER", "SPAN_KIND_CONSUMER")
 STATUS_CODES = ("STATUS_CODE_UNSET", "STATUS_CODE_OK", "STATUS_CODE_ERROR")
 #: Milliseconds of a metric's time slot.
@@ -52,12 +55,13 @@ def temporality(code: Column) -> Column:
 
 def slot_ms(ns: Column) -> Column:
     """Start of the 10 s slot, in ms, of a time in ns."""
-    return _div(_div(ns, 1_000_000), SLOT_MS) * SLOT_MS
+    return F.call_function("div", millis(ns), F.lit(SLOT_MS)) * SLOT_MS
 
 
-def _div(x: Column, n: int) -> Column:
-    """Integer quotient towards zero."""
-    return F.call_function("div", x, F.lit(n))
+def millis(ns: Column) -> Column:
+    """Whole ms of an unsigned time in ns, of which a bigint holds the bits: times from 2**63 on are negative there."""
+    large = ns.cast("decimal(20,0)") + F.lit(Decimal(1 << 64))
+    return F.when(ns >= 0, F.call_function("div", ns, F.lit(1_000_000))).otherwise(F.call_function("div", large, F.lit(Decimal(1_000_000))))
 
 
 def hex_id(raw: Column, missing: str | None) -> Column:
@@ -68,7 +72,7 @@ def hex_id(raw: Column, missing: str | None) -> Column:
 
 def duration_ms(start_ns: Column, end_ns: Column) -> Column:
     """Difference of the times cut to ms; 0 if either is unset.  May be negative."""
-    return F.when((start_ns == 0) | (end_ns == 0), F.lit(0).cast("bigint")).otherwise(_div(end_ns, 1_000_000) - _div(start_ns, 1_000_000))
+    return F.when((start_ns == 0) | (end_ns == 0), F.lit(0).cast("bigint")).otherwise(millis(end_ns) - millis(start_ns))
 
 
 def first_time(*times: Column) -> Column:

@@ -1,7 +1,7 @@
 """DDSketch: bins and quantiles as Catalyst expressions, and the codec and builders for Arrow batches.
 
-Expressions hold a sketch as array<struct<idx int, cnt double>>, sorted by bin, for positive values; `Sketch` is the general form with zero and negative
-bins, as the byte format has it.
+Expressions hold a sketch as array<struct<idx int, cnt double>>, sorted by slot: bins of negative values, zero and bins of
+positive values numbered in the order of values.  `Sketch` holds them apart, as the byte format does.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import math
 import struct
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,27 +38,52 @@ def value_of(idx: Column) -> Column:
     return F.pow(F.lit(GAMMA), idx) * (1 + ACCURACY)
 
 
+#: What parts the slots of positive and negative values from 0, the slot of zero: more than any bin of a double.
+SLOT = 1 << 20
+
+
+def slot_of(value: Column) -> Column:
+    """Slot of a finite value: its bin, with its sign, in the order of values."""
+    return F.when(value > 0, bin_of(value) + SLOT).when(value < 0, -(bin_of(-value) + SLOT)).otherwise(0)
+
+
+def value_at(slot: Column) -> Column:
+    """Value that stands for a slot."""
+    return F.when(slot > 0, value_of(slot - SLOT)).when(slot < 0, -value_of(-slot - SLOT)).otherwise(0.0)
+
+
 def usable(value: Column) -> Column:
     """Finite: what a sketch takes."""
     return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
 
 
 def quantile_of(bins: Column, count: Column, q: float) -> Column:
-    """Quantile of array<struct<idx,cnt>> sorted by idx: the first bin whose running count exceeds q (count - 1), else the last."""
+    """Quantile of array<struct<idx,cnt>> sorted by slot, at rank q (count - 1).
+
+    The first slot whose running count exceeds the rank, else the last: from zero upwards, and for ranks among the
+    negative values from zero downwards.
+    """
     rank = F.lit(q) * (count - 1)
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("int").alias("idx"), F.lit(False).alias("done"))
-    step = lambda a, b: F.struct((a["sum"] + b["cnt"]).alias("sum"), F.when(a["done"], a["idx"]).otherwise(b["idx"]).alias("idx"), (a["done"] | (a["sum"] + b["cnt"] > rank)).alias("done"))
-    return value_of(F.aggregate(bins, start, step)["idx"])
+    total = lambda part: F.aggregate(part, F.lit(0.0), lambda a, b: a + b["cnt"])
+    below, zero = total(F.filter(bins, lambda b: b["idx"] < 0)), total(F.filter(bins, lambda b: b["idx"] == 0))
+
+    def first(part: Column, target: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("int").alias("idx"), F.lit(False).alias("done"))
+        step = lambda a, b: F.struct((a["sum"] + b["cnt"]).alias("sum"), F.when(a["done"], a["idx"]).otherwise(b["idx"]).alias("idx"), (a["done"] | (a["sum"] + b["cnt"] > target)).alias("done"))
+        return value_at(F.aggregate(part, start, step)["idx"])
+
+    up, down = F.filter(bins, lambda b: b["idx"] > 0), F.reverse(F.filter(bins, lambda b: b["idx"] < 0))
+    return F.when(rank < below, first(down, below - 1 - rank)).when(rank < below + zero, F.lit(0.0)).otherwise(first(up, rank - below - zero))
 
 
 def sketch_groups(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Sketch and rollups of the positive finite values of each group: keys, bins, rollup_*.
+    """Sketch and rollups of the finite values of each group: keys, bins, rollup_*.
 
-    Two aggregations, first by bin, so a hot group is combined before it is shuffled; its bins are bounded by the range
-    of doubles (about 70,000), not by its rows.
+    Two aggregations, first by slot, so a hot group is combined before it is shuffled; its slots are bounded by the range
+    of doubles (about 140,000), not by its rows.
     """
     v = F.col(value)
-    binned = df.where(usable(v) & (v > 0)).groupBy(*keys, bin_of(v).alias("idx")).agg(F.count("*").cast("double").alias("cnt"), F.sum(v).alias("s"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+    binned = df.where(usable(v)).groupBy(*keys, slot_of(v).alias("idx")).agg(F.count("*").cast("double").alias("cnt"), F.sum(v).alias("s"), F.min(v).alias("lo"), F.max(v).alias("hi"))
     out = binned.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("idx", "cnt"))).alias("bins"), F.sum("cnt").alias("rollup_count"), F.sum("s").alias("rollup_sum"), F.min("lo").alias("rollup_min"), F.max("hi").alias("rollup_max"))
     out = out.withColumn("rollup_avg", F.col("rollup_sum") / F.col("rollup_count"))
     return out.withColumns({f"rollup_{n}": quantile_of(F.col("bins"), F.col("rollup_count"), q) for n, q in QUANTILES.items()})
@@ -70,11 +96,29 @@ def merge_bins(df: DataFrame, keys: list[str], bins: str = "bins") -> DataFrame:
 
 
 def running_quantile(df: DataFrame, keys: list[str], q: float) -> DataFrame:
-    """Quantile of (keys, idx, cnt) rows by window functions, for sketches too wide for one row."""
-    w = Window.partitionBy(*keys).orderBy("idx")
-    total = F.sum("cnt").over(Window.partitionBy(*keys))
-    ranked = df.withColumns({"run": F.sum("cnt").over(w), "rank": F.lit(q) * (total - 1)})
-    return ranked.where("run > rank").groupBy(*keys).agg(value_of(F.min("idx")).alias("quantile"))
+    """quantile_of over (keys, idx, cnt) rows by window functions, for sketches too wide for one row."""
+    group = Window.partitionBy(*keys)
+    away = Window.partitionBy(*keys, F.signum("idx")).orderBy(F.abs("idx"))  # from zero upwards, from zero downwards
+    total = lambda c: F.sum(F.when(c, F.col("cnt")).otherwise(0.0)).over(group)
+    ranked = df.withColumns({"run": F.sum("cnt").over(away), "below": total(F.col("idx") < 0), "zero": total(F.col("idx") == 0), "rank": F.lit(q) * (F.sum("cnt").over(group) - 1)})
+    low, high = (F.col("idx") < 0) & (F.col("run") > F.col("below") - 1 - F.col("rank")), (F.col("idx") > 0) & (F.col("run") > F.col("rank") - F.col("below") - F.col("zero"))
+    found = ranked.groupBy(*keys).agg(*[F.first(c).alias(c) for c in ("rank", "below", "zero")], F.max(F.when(low, F.col("idx"))).alias("low"), F.min(F.when(high, F.col("idx"))).alias("high"))
+    value = F.when(F.col("rank") < F.col("below"), value_at(F.col("low"))).when(F.col("rank") < F.col("below") + F.col("zero"), F.lit(0.0)).otherwise(value_at(F.col("high")))
+    return found.select(*keys, value.alias("quantile"))
+
+
+def single(value: Column) -> Column:
+    """struct<sketch binary, rollups double> of one value; an empty sketch and zeros for one that isn't finite."""
+    byte = lambda n: F.lpad(F.hex(n), 2, "0")
+    index = bin_of(F.abs(value)).cast("bigint")
+    n = F.when(index >= 0, 2 * index).otherwise(-2 * index - 1)
+    number = F.when(n < 1 << 7, byte(n)).when(n < 1 << 14, F.concat(byte(n.bitwiseAND(F.lit(0x7F)) + 0x80), byte(F.shiftright(n, 7))))
+    number = number.otherwise(F.concat(byte(n.bitwiseAND(F.lit(0x7F)) + 0x80), byte(F.shiftright(n, 7).bitwiseAND(F.lit(0x7F)) + 0x80), byte(F.shiftright(n, 14))))
+    head, once = Sketch().encode().hex(), _varfloat(1.0).hex()
+    store = lambda flag: F.concat(F.lit(f"{head}{flag:02x}01"), number, F.lit(once))
+    text = F.when(~usable(value), head).when(value > 0, store(FLAG_POSITIVE)).when(value < 0, store(FLAG_NEGATIVE)).otherwise(f"{head}{FLAG_ZERO:02x}{once}")
+    plain, near = F.when(usable(value), value).otherwise(0.0), F.when(usable(value), value_at(slot_of(value))).otherwise(0.0)
+    return F.struct(F.unhex(text).alias("sketch"), *[(F.when(usable(value), 1.0).otherwise(0.0) if r == "count" else near if r in QUANTILES else plain).alias(r) for r in ROLLUPS])
 
 
 # -- objects -----------------------------------------------------------------------------------------------------
@@ -114,6 +158,19 @@ class Sketch:
             k = self.key(abs(value))
             store[k] = store.get(k, 0.0) + count
 
+    def add_all(self, values: np.ndarray) -> None:
+        """Add many finite values."""
+        if not len(values):
+            return
+        self.count += len(values)
+        self.sum += float(values.sum())
+        self.min, self.max = min(self.min, float(values.min())), max(self.max, float(values.max()))
+        self.zero += int((values == 0).sum())
+        for store, part in ((self.positive, values[values > 0]), (self.negative, -values[values < 0])):
+            keys, counts = np.unique(np.ceil(np.log(part) / math.log(self.gamma) + self.offset).astype(np.int64), return_counts=True)
+            for k, c in zip(keys.tolist(), counts.tolist(), strict=True):
+                store[k] = store.get(k, 0.0) + c
+
     def merge(self, other: Sketch) -> None:
         """Add another sketch of the same mapping."""
         if (self.gamma, self.offset) != (other.gamma, other.offset):
@@ -270,12 +327,15 @@ def from_summary(count: int, total: float, quantiles: list[tuple[float, float]])
         points.insert(0, (0.0, low))
     if points[-1][0] < 1:
         points.append((1.0, high))
-    n, at = min(SUMMARY_SAMPLES, count), 0
-    for i in range(n):
-        q = (i + 0.5) / n
-        while at < len(points) - 2 and points[at + 1][0] < q:
-            at += 1
-        s.add(_between(q, *points[at], *points[min(at + 1, len(points) - 1)]))
+    n = min(SUMMARY_SAMPLES, count)
+    q, (qs, vs) = (np.arange(n) + 0.5) / n, np.array(points).T
+    at = np.searchsorted(qs[1:-1], q)
+    to = np.minimum(at + 1, len(points) - 1)
+    q1, v1, q2, v2 = qs[at], vs[at], qs[to], vs[to]
+    with np.errstate(all="ignore"):
+        t = np.where(np.abs(q2 - q1) < 1e-10, 0.0, (q - q1) / (q2 - q1))
+        drawn = np.where((v1 > 0) & (v2 > 0) & (t != 0), np.exp(np.log(v1) + t * (np.log(v2) - np.log(v1))), v1 + t * (v2 - v1))
+    s.add_all(drawn[np.isfinite(drawn)])
     s.sum = total
     return s
 

@@ -26,13 +26,11 @@ SPAN_COLUMNS = [
 ]
 _SKETCH = T.StructType([T.StructField("sketch", T.BinaryType()), *[T.StructField(r, T.DoubleType()) for r in S.ROLLUPS]])
 _BINS = T.ArrayType(T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("cnt", T.DoubleType())]))
-_DECODED = T.StructType([*[T.StructField(n, T.DoubleType()) for n in ("count", "sum", "min", "max", "p50", "p99")], T.StructField("bins", _BINS)])
+_DECODED = T.StructType([*[T.StructField(n, T.DoubleType()) for n in ("count", "sum", "min", "max", *S.QUANTILES)], T.StructField("bins", _BINS), T.StructField("negative", _BINS), T.StructField("zero", T.DoubleType())])
 
 
-def sketch_of(kind, value, count, total, low, high, counts, bounds, scale, zero, po, pc, no, nc, quantiles) -> tuple[S.Sketch, float | None, float | None]:
-    """The sketch of a data point of any kind, and the minimum and maximum that the point itself states."""
-    if kind in ("gauge", "sum"):
-        return S.from_value(value), None, None
+def sketch_of(kind, count, total, low, high, counts, bounds, scale, zero, po, pc, no, nc, quantiles) -> tuple[S.Sketch, float | None, float | None]:
+    """The sketch of a distribution, and the minimum and maximum that the point itself states."""
     if kind == "histogram":
         return S.from_histogram(list(counts), list(bounds), int(count), total), low, high
     if kind == "exponential_histogram":
@@ -41,25 +39,35 @@ def sketch_of(kind, value, count, total, low, high, counts, bounds, scale, zero,
 
 
 @F.pandas_udf(_SKETCH)
-def _sketches(kind: pd.Series, value: pd.Series, count: pd.Series, total: pd.Series, low: pd.Series, high: pd.Series, counts: pd.Series, bounds: pd.Series, scale: pd.Series, zero: pd.Series, po: pd.Series, pc: pd.Series, no: pd.Series, nc: pd.Series, quantiles: pd.Series) -> pd.DataFrame:
-    out = []
+def _distributions(kind: pd.Series, count: pd.Series, total: pd.Series, low: pd.Series, high: pd.Series, counts: pd.Series, bounds: pd.Series, scale: pd.Series, zero: pd.Series, po: pd.Series, pc: pd.Series, no: pd.Series, nc: pd.Series, quantiles: pd.Series) -> pd.DataFrame:
+    """Sketches of distributions; null for other kinds."""
+    out: list[tuple] = [(None,) * (1 + len(S.ROLLUPS))] * len(kind)
     none = lambda x: None if x is None or x != x else float(x)
-    for k, v, c, t, lo, hi, *rest in zip(kind, value, count, total, low, high, counts, bounds, scale, zero, po, pc, no, nc, quantiles, strict=True):
-        s, least, most = sketch_of(k, v, c, none(t), none(lo), none(hi), *rest)
+    for i in kind.index[kind.isin(["histogram", "exponential_histogram", "summary"])]:
+        s, least, most = sketch_of(kind[i], count[i], none(total[i]), none(low[i]), none(high[i]), *[c[i] for c in (counts, bounds, scale, zero, po, pc, no, nc, quantiles)])
         r = s.rollups()
         r["min"], r["max"] = r["min"] if least is None else least, r["max"] if most is None else most
-        out.append((s.encode(), *(float(r[n]) for n in S.ROLLUPS)))
+        out[i] = (s.encode(), *(float(r[n]) for n in S.ROLLUPS))
     return pd.DataFrame(out, columns=["sketch", *S.ROLLUPS])
 
 
+def sketches(kind: Column, value: Column, *distribution: Column) -> Column:
+    """struct<sketch, rollups> of data points: numbers in closed form, distributions by their own builders."""
+    return F.when(kind.isin("gauge", "sum"), S.single(value)).otherwise(_distributions(kind, *distribution))
+
+
 @F.pandas_udf(_DECODED)
 def sketch_decode(raw: pd.Series) -> pd.DataFrame:
-    """Statistics and positive bins of encoded sketches."""
-    out = []
+    """Statistics, quantiles, positive and negative bins and the count of zeros of encoded sketches; null for null."""
+    bins = lambda store: [{"idx": k, "cnt": store[k]} for k in sorted(store)]
+    out: list[tuple] = []
     for b in raw:
-        s = S.Sketch.decode(b)
-        out.append((s.count, s.sum, s.min, s.max, s.quantile(0.5), s.quantile(0.99), [{"idx": k, "cnt": s.positive[k]} for k in sorted(s.positive)]))
-    return pd.DataFrame(out, columns=["count", "sum", "min", "max", "p50", "p99", "bins"])
+        if b is None:
+            out.append((None,) * len(_DECODED))
+            continue
+        s = S.Sketch.decode(bytes(b))
+        out.append((s.count, s.sum, s.min, s.max, *[s.quantile(q) for q in S.QUANTILES.values()], bins(s.positive), bins(s.negative), s.zero))
+    return pd.DataFrame(out, columns=_DECODED.names)
 
 
 def merge_sketches(df: DataFrame, keys: list[str], sketch: str = "chq_sketch") -> DataFrame:
@@ -99,7 +107,7 @@ def metrics(rows: DataFrame, customer_id: str) -> DataFrame:
     """METRIC_SCHEMA rows to the canonical metric table: the fixed columns, then maps resource and attr."""
     name, kind = A.normalize_name(F.col("name")), A.metric_type(F.col("kind"))
     tid = H.tid(_tags([("metric_name", name), ("chq_metric_type", kind)], F.col("resource_tags"), F.col("attr_tags")))
-    sk = _sketches("kind", "value", "count", "sum", "min", "max", "bucket_counts", "bounds", "scale", "zero_count", "pos_offset", "pos_counts", "neg_offset", "neg_counts", "quantiles")
+    sk = sketches(F.col("kind"), F.col("value"), *map(F.col, ("count", "sum", "min", "max", "bucket_counts", "bounds", "scale", "zero_count", "pos_offset", "pos_counts", "neg_offset", "neg_counts", "quantiles")))
     rows = rows.withColumn("_s", sk)
     return rows.select(
         F.lit(customer_id).alias("chq_customer_id"), F.lit("metrics").alias("chq_telemetry_type"), tid.alias("chq_tid"), A.slot_ms(F.col("time_ns")).alias("chq_timestamp"), F.col("time_ns").alias("chq_tsns"),
@@ -130,13 +138,15 @@ ulid: Callable[[Column], Column] = _ulid.asNondeterministic()
 
 def logs(rows: DataFrame, customer_id: str, mode: str = "cluster") -> DataFrame:
     """LOG_SCHEMA rows to the canonical log table.  mode `cluster`: fingerprints of similar messages agree, in the order of
-    file and record; `exact`: of the message alone, without a shuffle."""
+    file and record, whose tokens pass through one task; `exact`: of the message alone, without a shuffle."""
     if mode not in ("cluster", "exact"):
         raise ValueError("mode is cluster or exact")
-    rows = with_tokens(rows, "body")
     if mode == "cluster":
-        rows = with_clusters(rows.withColumn("_tenant", F.lit(customer_id)), "_tenant", ["file", "ord"])
-    ms = lambda c: F.call_function("div", F.col(c), F.lit(1_000_000))
+        marks = with_clusters(with_tokens(rows.select("file", "ord", "body"), "body").withColumn("_tenant", F.lit(customer_id)), "_tenant", ["file", "ord"])
+        rows = rows.join(marks.select("file", "ord", "log_cluster"), ["file", "ord"])
+    else:
+        rows = with_tokens(rows, "body")
+    ms = lambda c: A.millis(F.col(c))
     return rows.select(
         ulid(F.col("ord")).alias("chq_id"), F.lit(customer_id).alias("chq_customer_id"), F.lit("logs").alias("chq_telemetry_type"),
         F.coalesce(F.when(F.col("time_ns") != 0, ms("time_ns")), F.when(F.col("observed_ns") != 0, ms("observed_ns")), F.unix_millis(F.current_timestamp())).alias("chq_timestamp"),
@@ -150,10 +160,10 @@ def spans(rows: DataFrame, customer_id: str, as_text: bool = True) -> DataFrame:
     """SPAN_SCHEMA rows to the canonical span table; the fingerprint set as text, or as array<bigint>."""
     trace = A.hex_id(F.col("trace_id"), "")
     prints = H.fingerprints(_tags([("chq_telemetry_type", F.lit("traces")), ("span_trace_id", trace)], _of_map(F.col("resource"), "resource_"), _of_map(F.col("scope"), "scope_"), _of_map(F.col("attr"), "attr_")))
-    ms = lambda c: F.when(F.col(c) > 0, F.call_function("div", F.col(c), F.lit(1_000_000))).otherwise(F.unix_millis(F.current_timestamp()))
+    ms = lambda c: F.when(F.col(c) != 0, A.millis(F.col(c))).otherwise(F.unix_millis(F.current_timestamp()))
     return rows.select(
         F.lit(customer_id).alias("chq_customer_id"), F.lit("traces").alias("chq_telemetry_type"), ms("start_ns").alias("chq_timestamp"),
-        F.when(F.col("start_ns") > 0, F.col("start_ns")).otherwise(F.unix_micros(F.current_timestamp()) * 1000).alias("chq_tsns"),
+        F.when(F.col("start_ns") != 0, F.col("start_ns")).otherwise(F.unix_micros(F.current_timestamp()) * 1000).alias("chq_tsns"),
         (H.fingerprint_text(prints) if as_text else prints).alias("chq_fingerprint"), trace.alias("span_trace_id"), A.hex_id(F.col("span_id"), "").alias("span_id"), A.hex_id(F.col("parent_span_id"), "").alias("span_parent_span_id"),
         F.col("name").alias("span_name"), A.span_kind(F.col("kind")).alias("span_kind"), A.status_code(F.col("status_code")).alias("span_status_code"), F.nullif(F.col("status_message"), F.lit("")).alias("span_status_message"),
         ms("end_ns").alias("span_end_timestamp"), A.duration_ms(F.col("start_ns"), F.col("end_ns")).alias("span_duration"), "scope_name", "scope_version", "resource", "scope", "attr",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -102,22 +104,49 @@ class Clusterer:
 def with_clusters(df: DataFrame, tenant: str, order: list[str], threshold: float = THRESHOLD) -> DataFrame:
     """df (log_tokens, log_json_keys) with log_cluster; 0 for a null token list.
 
-    Sequential by nature: a tenant's messages go in order through one task, as Arrow batches of a few hundred bytes a
-    message that only hold tokens.  Use log_fingerprint where independent tasks matter more than clusters.
+    Sequential by nature: each message changes the state that the next one meets, so a tenant's messages go through one
+    task in order.  Only their tokens, keys and `order` do; the other columns stay where they are and are joined by
+    tenant and order in parallel, so the two must tell a tenant's rows apart (rows that share them share a cluster).
+    Use log_fingerprint where independent tasks matter more than clusters.
     """
-    names = df.columns
-    rows = df.repartition(F.col(tenant)).sortWithinPartitions(tenant, *order)
+    names = [tenant, *order]
+    rows = df.select(*names, "log_tokens", "log_json_keys").repartition(F.col(tenant)).sortWithinPartitions(*names)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, state = object(), Clusterer(threshold)
+        held, state, before, mark = object(), Clusterer(threshold), None, 0
         for pdf in batches:
-            out = []
-            for who, t, k in zip(pdf[tenant], pdf["log_tokens"], pdf["log_json_keys"], strict=True):
-                if who != held:
-                    held, state = who, Clusterer(threshold)
-                out.append(0 if t is None else state.cluster(list(t), [] if k is None else list(k)))
-            pdf["log_cluster"] = out
-            yield pdf
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return rows.mapInPandas(run, f"{schema}, log_cluster bigint").select(*names, "log_cluster")
+            out, new = [], []
+            for *place, t, k in pdf.itertuples(index=False, name=None):
+                if place[0] != held:
+                    held, state, before = place[0], Clusterer(threshold), None
+                new.append(place != before)
+                if new[-1]:
+                    before, mark = place, 0 if t is None else state.cluster(list(t), [] if k is None else list(k))
+                out.append(mark)
+            yield pdf[names].assign(log_cluster=out)[pd.Series(new, index=pdf.index, dtype=bool)]
+
+    schema = ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
+    found = rows.mapInPandas(run, f"{schema}, log_cluster bigint").select(*[F.col(n).alias(f"_{i}") for i, n in enumerate(names)], "log_cluster")
+    same = reduce(and_, [F.col(n).eqNullSafe(F.col(f"_{i}")) for i, n in enumerate(names)])
+    return df.join(found, same).select(*df.columns, "log_cluster")
+
+
+class Tenants:
+    """A clusterer for each tenant, as a service keeps them: made on first use, until removed."""
+
+    def __init__(self, threshold: float = THRESHOLD):
+        self.threshold, self.held = threshold, {}
+
+    def cluster(self, tenant: str, tokens: list[str], keys: list[str]) -> int:
+        if tenant not in self.held:
+            self.held[tenant] = Clusterer(self.threshold)
+        return self.held[tenant].cluster(tokens, keys)
+
+    def remove(self, tenant: str) -> bool:
+        return self.held.pop(tenant, None) is not None
+
+    def ids(self) -> list[str]:
+        return list(self.held)
+
+    def __len__(self) -> int:
+        return len(self.held)

@@ -68,11 +68,11 @@ inactive inbound incoming incomplete increment indexed indexer indices info infr
 initialized initializing inject input insert inserted inspect install installed instance instances integer integration integrity interceptor interface
 internal interpreter interrupt interrupted interval invalidate invoke invoked isolation iteration iterator java javascript json kafka kernel kill killed
 kubernetes label labels lag latency latest launch launched layer layout leader lease leak library license listen listener listening load loaded loader
-loading lock locked locks log logger logging login logout logs lookup loop mail maintenance malformed manager mapper mapping marker mask master
+loading lock locked locks log logged logger logging login logout logs lookup loop mail maintenance malformed manager mapper mapping marker mask master
 maintenance merge merged metadata method metric metrics micro middleware migrate migration millis minor mirror mismatch mobile mock module modules monitor
 monitoring mount mounted multi mutex namespace native navigate negotiate network networks node nodes notification notify null offline offset online
 operator optimize optimizer orchestrator orphan outbound outgoing overflow override overhead package packet packets panic parameter parameters parse parsed
-parser parsing partial partition partitions password patch paths pause paused payload peer peers pending percent performance permission permissions
+parser parsing partial partition partitions password patch paths pause paused payload payment peer peers pending percent performance permission permissions
 persist persistent ping pipeline pipelines plugin plugins pod pods poll polling pool pools port ports post preferred prefix priority probe process processed
 processes processing processor produce producer producers profile progress prometheus promote prompt properties property protocol provider provision proxy
 publish published publisher purge python quarantine queries query quorum quota random rebalance reboot rebuild receiver recipient reconnect reconnecting

@@ -15,7 +15,7 @@ from sparktel.operators import enrich
 from sparktel.operators.flatten import flatten_attributes, union_all
 from sparktel.operators.logclusters import with_clusters
 from sparktel.operators.logtokens import with_tokens
-from sparktel.plans.frames import load, points, records, spans
+from sparktel.plans.frames import load, points, records, shared_folder, spans
 from sparktel.streaming.windows import metric_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,10 +71,14 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from sparktel.plans import otlp  # noqa: F401  it adds its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from sparktel.plans import otlp  # noqa: F401
+
     return dict(_SQL)
 
 
@@ -127,10 +131,15 @@ def resource_key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", F.explode(kept).alias("t")).select("c_custkey", F.concat(F.lit("resource_"), "t.k").alias("name"), F.col("t.v").alias("value"))
 
 
-@query(f"""SELECT event_id, value AS rollup_sum, {_BIN.format('value')} AS bin, round({_VAL.format(_BIN.format('value'))}, 6) AS p50 FROM events WHERE value > 0""")
+_SIGNED = "(value - 50)"
+_AT = f"CASE WHEN {_SIGNED} = 0 THEN 0 ELSE sign({_SIGNED}) * {_VAL.format(_BIN.format(f'CASE WHEN {_SIGNED} = 0 THEN 1 ELSE abs({_SIGNED}) END'))} END"
+
+
+@query(f"""SELECT event_id, {_SIGNED} AS rollup_sum, 1::DOUBLE AS rollup_count, round({_AT}, 6) AS p50 FROM events""")
 def gauge_rollup_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = load(spark, sf_dir, "events").where("value > 0").withColumn("bin", S.bin_of(F.col("value")))
-    return e.select("event_id", F.col("value").alias("rollup_sum"), "bin", F.round(S.value_of(F.col("bin")), 6).alias("p50"))
+    """The sketch of a single value of either sign, in closed form."""
+    e = load(spark, sf_dir, "events").select("event_id", S.single(F.col("value") - 50).alias("s"))
+    return e.select("event_id", F.col("s.sum").alias("rollup_sum"), F.col("s.count").alias("rollup_count"), F.round("s.p50", 6).alias("p50"))
 
 
 @query(f"SELECT l_returnflag, {_BIN.format('l_extendedprice')} AS idx, count(*)::DOUBLE AS cnt FROM lineitem WHERE l_extendedprice > 0 GROUP BY 1, 2")
@@ -140,12 +149,35 @@ def ddsketch_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql_quantiles(group: str, value: str, source: str, names: dict[str, float]) -> str:
-    qs = ", ".join(f"round(min(CASE WHEN run > {q} * (n - 1) THEN {_VAL.format('idx')} END), 4) AS {name}" for name, q in names.items())
-    return f"""WITH b AS (SELECT {group} AS g, {_BIN.format(value)} AS idx, count(*) AS c, sum({value}) AS s, min({value}) AS lo, max({value}) AS hi FROM {source} WHERE {value} > 0 GROUP BY 1, 2),
-r AS (SELECT *, sum(c) OVER (PARTITION BY g ORDER BY idx) AS run, sum(c) OVER (PARTITION BY g) AS n FROM b)
+    def at(q: float) -> str:
+        rank = f"({q} * (n - 1))"
+        low = f"-min(CASE WHEN sg < 0 AND run > neg - 1 - {rank} THEN {_VAL.format('idx')} END)"
+        high = f"min(CASE WHEN sg > 0 AND run > {rank} - neg - zer THEN {_VAL.format('idx')} END)"
+        rank = f"({q} * (any_value(n) - 1))"
+        return f"round(CASE WHEN {rank} < any_value(neg) THEN {low} WHEN {rank} < any_value(neg) + any_value(zer) THEN 0 ELSE {high} END, 4)"
+
+    qs = ", ".join(f"{at(q)} AS {name}" for name, q in names.items())
+    size = f"CASE WHEN {value} = 0 THEN 1 ELSE abs({value}) END"
+    return f"""WITH b AS (SELECT {group} AS g, CAST(sign({value}) AS INTEGER) AS sg, {_BIN.format(size)} AS idx, count(*) AS c, sum({value}) AS s, min({value}) AS lo, max({value}) AS hi FROM {source} WHERE {value} IS NOT NULL GROUP BY 1, 2, 3),
+r AS (SELECT *, sum(c) OVER (PARTITION BY g, sg ORDER BY idx) AS run, sum(c) OVER (PARTITION BY g) AS n, sum(CASE WHEN sg < 0 THEN c ELSE 0 END) OVER (PARTITION BY g) AS neg, sum(CASE WHEN sg = 0 THEN c ELSE 0 END) OVER (PARTITION BY g) AS zer FROM b)
 SELECT g AS {group}, sum(c)::DOUBLE AS rollup_count, round(sum(s), 3) AS rollup_sum, min(lo) AS rollup_min, max(hi) AS rollup_max, {qs} FROM r GROUP BY g"""
 
 
+@query(_sql_quantiles("event_type", "(round(value) - 50)", "events", S.QUANTILES))
+def signed_quantiles_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of negative, zero and positive values."""
+    g = S.sketch_groups(load(spark, sf_dir, "events").withColumn("v", F.round("value") - 50), ["event_type"], "v")
+    return g.select("event_type", "rollup_count", F.round("rollup_sum", 3).alias("rollup_sum"), "rollup_min", "rollup_max", *[F.round(f"rollup_{q}", 4).alias(q) for q in S.QUANTILES])
+
+
+@query(_sql_quantiles("event_type", "(round(value) - 50)", "events", {"p25": 0.25, "p99": 0.99}).replace("round(sum(s), 3) AS rollup_sum, min(lo) AS rollup_min, max(hi) AS rollup_max, ", "").replace("sum(c)::DOUBLE AS rollup_count, ", ""))
+def signed_quantile_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same quantiles by window functions over rows of slots."""
+    b = load(spark, sf_dir, "events").groupBy("event_type", S.slot_of(F.round("value") - 50).alias("idx")).agg(F.count("*").alias("cnt"))
+    one = {n: S.running_quantile(b, ["event_type"], q).withColumnRenamed("quantile", n) for n, q in (("p25", 0.25), ("p99", 0.99))}
+    return one["p25"].join(one["p99"], "event_type").select("event_type", F.round("p25", 4).alias("p25"), F.round("p99", 4).alias("p99"))
+
+
 @query(_sql_quantiles("event_type", "value", "events", S.QUANTILES))
 def ddsketch_quantiles_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = S.sketch_groups(load(spark, sf_dir, "events"), ["event_type"], "value")
@@ -163,7 +195,7 @@ def sketch_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_sql_quantiles("l_linestatus", "l_extendedprice", "lineitem", {"p50": 0.5}).replace("round(sum(s), 3) AS rollup_sum, min(lo) AS rollup_min, max(hi) AS rollup_max, ", "").replace("sum(c)::DOUBLE AS rollup_count, ", ""))
 def quantile_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem").where("l_extendedprice > 0").groupBy("l_linestatus", S.bin_of(F.col("l_extendedprice")).alias("idx")).agg(F.count("*").alias("cnt"))
+    li = load(spark, sf_dir, "lineitem").groupBy("l_linestatus", S.slot_of(F.col("l_extendedprice")).alias("idx")).agg(F.count("*").alias("cnt"))
     return S.running_quantile(li, ["l_linestatus"], 0.5).select("l_linestatus", F.round("quantile", 4).alias("p50"))
 
 
@@ -172,9 +204,9 @@ _ROLLUPS = ["count", "sum", "min", "max", "p50", "p99"]
 
 def _rolled(df: DataFrame, key: str, **cols) -> DataFrame:
     """One sketch a row of data-point columns; rounded statistics."""
-    blank = {"kind": F.lit("gauge"), "value": F.lit(None).cast("double"), "count": F.lit(None).cast("bigint"), "sum": F.lit(None).cast("double"), "min": F.lit(None).cast("double"), "max": F.lit(None).cast("double"), "bucket_counts": F.lit(None).cast("array<bigint>"), "bounds": F.lit(None).cast("array<double>"), "scale": F.lit(0), "zero": F.lit(0).cast("bigint"), "po": F.lit(0), "pc": F.lit(None).cast("array<bigint>"), "no": F.lit(0), "nc": F.lit(None).cast("array<bigint>"), "quantiles": F.lit(None).cast("array<struct<q:double,v:double>>")}
+    blank = {"kind": F.lit("summary"), "value": F.lit(None).cast("double"), "count": F.lit(None).cast("bigint"), "sum": F.lit(None).cast("double"), "min": F.lit(None).cast("double"), "max": F.lit(None).cast("double"), "bucket_counts": F.lit(None).cast("array<bigint>"), "bounds": F.lit(None).cast("array<double>"), "scale": F.lit(0), "zero": F.lit(0).cast("bigint"), "po": F.lit(0), "pc": F.lit(None).cast("array<bigint>"), "no": F.lit(0), "nc": F.lit(None).cast("array<bigint>"), "quantiles": F.lit(None).cast("array<struct<q:double,v:double>>")}
     args = [cols.get(k, v) for k, v in blank.items()]
-    return df.select(key, enrich._sketches(*args).alias("s")).select(key, *[F.round(F.col(f"s.{r}"), 4).alias(r) for r in _ROLLUPS])
+    return df.select(key, enrich.sketches(*args).alias("s")).select(key, *[F.round(F.col(f"s.{r}"), 4).alias(r) for r in _ROLLUPS])
 
 
 _BOUNDS = [10.0, 20.0, 30.0, 40.0]
@@ -196,15 +228,15 @@ def histogram_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rolled(g, "l_suppkey", kind=F.lit("histogram"), count=F.col("n"), sum=F.col("s"), min=F.col("lo"), max=F.col("hi"), bucket_counts=F.col("counts"), bounds=F.array(*[F.lit(b) for b in _BOUNDS]))
 
 
-@query(f"""WITH b AS (SELECT o_orderpriority, CAST(floor(log2(o_totalprice)) AS INTEGER) AS k, count(*) AS c FROM orders WHERE o_totalprice >= 1 GROUP BY 1, 2),
+@query(f"""WITH b AS (SELECT o_orderpriority, CAST(floor(log2(o_totalprice)) AS INTEGER) AS k, count(*) AS c FROM orders GROUP BY 1, 2),
 r AS (SELECT *, pow(2::DOUBLE, k + 0.5::DOUBLE) AS rep, sum(c) OVER (PARTITION BY o_orderpriority ORDER BY k) AS run, sum(c) OVER (PARTITION BY o_orderpriority) AS n FROM b),
-t AS (SELECT o_orderpriority, sum(o_totalprice) AS s, min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders WHERE o_totalprice >= 1 GROUP BY 1)
+t AS (SELECT o_orderpriority, sum(o_totalprice) AS s, min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders GROUP BY 1)
 SELECT o_orderpriority, n::DOUBLE AS "count", round(any_value(s), 2) AS "sum", round(any_value(lo), 4) AS "min", round(any_value(hi), 4) AS "max",
   round(min(CASE WHEN run > 0.5 * (n - 1) THEN {_VAL.format(_BIN.format('rep'))} END), 4) AS p50, round(min(CASE WHEN run > 0.99 * (n - 1) THEN {_VAL.format(_BIN.format('rep'))} END), 4) AS p99
 FROM r JOIN t USING (o_orderpriority) GROUP BY o_orderpriority, n""")
 def exp_histogram_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exponential histograms (scale 0: powers of two) of order prices."""
-    o = load(spark, sf_dir, "orders").where("o_totalprice >= 1")
+    o = load(spark, sf_dir, "orders")
     b = o.groupBy("o_orderpriority", F.floor(F.log2("o_totalprice")).cast("int").alias("k")).agg(F.count("*").alias("c"), F.sum("o_totalprice").alias("s"), F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"))
     g = b.groupBy("o_orderpriority").agg(F.map_from_entries(F.collect_list(F.struct("k", "c"))).alias("m"), F.min("k").alias("first"), F.max("k").alias("last"), F.sum("c").alias("n"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     counts = F.transform(F.sequence("first", "last"), lambda k: F.coalesce(F.element_at("m", k), F.lit(0)).cast("bigint"))
@@ -257,17 +289,37 @@ def otlp_metrics_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(F.element_at("attr", F.lit("event_id")).cast("bigint").alias("event_id"), F.col("chq_rollup_sum").alias("sum"), F.col("chq_rollup_count").alias("count"), "metric_name", "chq_timestamp", "chq_metric_type")
 
 
-@query(f"""SELECT event_type, count(*)::DOUBLE AS "count", round(sum({_VAL.format(_BIN.format('value'))}), 2) AS "sum" FROM events WHERE value > 0 GROUP BY 1""")
+@query(f"""SELECT event_type, count(*)::DOUBLE AS "count", round(sum({_AT}), 2) AS "sum", sum(CASE WHEN {_SIGNED} < 0 THEN 1 ELSE 0 END)::DOUBLE AS below FROM events GROUP BY 1""")
 def sketch_codec_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sketch a value, encoded, merged by type from the bytes, and decoded; sums come from bins."""
-    e = load(spark, sf_dir, "events").where("value > 0")
+    """A sketch a value of either sign, encoded, merged by type from the bytes, and decoded; sums come from bins."""
+    one = load(spark, sf_dir, "events").select("event_type", S.single(F.col("value") - 50)["sketch"].alias("chq_sketch"))
+    merged = enrich.merge_sketches(one, ["event_type"]).select("event_type", enrich.sketch_decode("chq_sketch").alias("d"))
+    return merged.select("event_type", F.col("d.count").alias("count"), F.round("d.sum", 2).alias("sum"), F.aggregate("d.negative", F.lit(0.0), lambda a, b: a + b["cnt"]).alias("below"))
+
+
+@query(f"""WITH e AS (SELECT event_type, round(value) - 50 AS v FROM events),
+b AS (SELECT event_type, sign(v)::INTEGER AS sg, CASE WHEN v = 0 THEN 0 ELSE CAST(floor(log2(CASE WHEN v = 0 THEN 1 ELSE abs(v) END) * 2) AS INTEGER) END AS k, count(*) AS c FROM e GROUP BY 1, 2, 3),
+r AS (SELECT *, pow(2::DOUBLE, (k + 0.5::DOUBLE) / 2) AS rep, sum(c) OVER (PARTITION BY event_type ORDER BY CASE WHEN sg = 0 THEN 0 ELSE sg * (k + 1000) END) AS run, sum(c) OVER (PARTITION BY event_type) AS n FROM b),
+t AS (SELECT event_type, round(sum(v), 2) AS s, min(v) AS lo, max(v) AS hi FROM e GROUP BY 1)
+SELECT event_type, any_value(n)::DOUBLE AS "count", any_value(s) AS "sum", any_value(lo) AS "min", any_value(hi) AS "max", sum(CASE WHEN sg < 0 THEN c ELSE 0 END)::DOUBLE AS below, sum(CASE WHEN sg = 0 THEN c ELSE 0 END)::DOUBLE AS zero,
+  round(max(CASE WHEN sg > 0 THEN {_VAL.format(_BIN.format('rep'))} END), 4) AS top, round(max(CASE WHEN sg < 0 THEN {_VAL.format(_BIN.format('rep'))} END), 4) AS bottom FROM r JOIN t USING (event_type) GROUP BY 1""")
+def exp_histogram_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exponential histograms of scale 1 with positive, negative and zero buckets, encoded and decoded again."""
+    v = F.col("v")
+    e = load(spark, sf_dir, "events").select("event_type", (F.round("value") - 50).alias("v"))
+    b = e.groupBy("event_type", F.signum("v").cast("int").alias("sg"), F.when(v != 0, F.floor(F.log2(F.abs(v)) * 2)).otherwise(0).cast("int").alias("k")).agg(F.count("*").alias("c"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    buckets = lambda sg: F.map_from_entries(F.collect_list(F.when(F.col("sg") == sg, F.struct("k", "c"))))
+    g = b.groupBy("event_type").agg(buckets(1).alias("up"), buckets(-1).alias("down"), F.sum(F.when(F.col("sg") == 0, F.col("c")).otherwise(0)).alias("zero"), F.min("k").alias("first"), F.max("k").alias("last"), F.sum("c").alias("n"), F.round(F.sum("s"), 2).alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    row = lambda m: F.transform(F.sequence("first", "last"), lambda k: F.coalesce(F.element_at(m, k), F.lit(0)).cast("bigint"))
     none = F.lit(None)
-    one = e.select("event_type", enrich._sketches(F.lit("gauge"), "value", none.cast("bigint"), *[none.cast("double")] * 3, none.cast("array<bigint>"), none.cast("array<double>"), F.lit(0), F.lit(0).cast("bigint"), F.lit(0), none.cast("array<bigint>"), F.lit(0), none.cast("array<bigint>"), none.cast("array<struct<q:double,v:double>>")).alias("s")).select("event_type", F.col("s.sketch").alias("chq_sketch"))
-    merged = enrich.merge_sketches(one, ["event_type"])
-    return merged.select("event_type", enrich.sketch_decode("chq_sketch").alias("d")).select("event_type", F.col("d.count").alias("count"), F.round("d.sum", 2).alias("sum"))
+    sk = enrich.sketches(F.lit("exponential_histogram"), none.cast("double"), F.col("n"), F.col("s"), F.col("lo"), F.col("hi"), none.cast("array<bigint>"), none.cast("array<double>"), F.lit(1), F.col("zero"), F.col("first"), row("up"), F.col("first"), row("down"), none.cast("array<struct<q:double,v:double>>"))
+    out = g.select("event_type", sk.alias("s")).select("event_type", "s", enrich.sketch_decode("s.sketch").alias("d"))
+    part = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x["cnt"])
+    most = lambda c: F.round(S.value_of(F.array_max(F.transform(c, lambda x: x["idx"]))), 4)
+    return out.select("event_type", "s.count", "s.sum", "s.min", "s.max", part("d.negative").alias("below"), F.col("d.zero").alias("zero"), most("d.bins").alias("top"), most("d.negative").alias("bottom"))
 
 
-@query("""SELECT epoch_ms(time_bucket(INTERVAL 10 SECOND, ts)) AS start_ms, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE value > 0 GROUP BY 1""")
+@query("""SELECT epoch_ms(time_bucket(INTERVAL 10 SECOND, ts)) AS start_ms, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1""")
 def window_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream operator's windows, over a bounded input."""
     m = points(spark, sf_dir).select(A.normalize_name(F.col("name")).alias("metric_name"), F.lit(0).cast("bigint").alias("chq_tid"), F.col("value").alias("chq_rollup_sum"), A.slot_ms(F.col("time_ns")).alias("chq_timestamp"))
@@ -376,6 +428,11 @@ def json_deep_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").select("event_id", F.explode(F.json_object_keys("props")).alias("key"))
 
 
+@query("SELECT c_custkey, strlen(c_name) AS bytes, strlen(c_mktsegment || ' é中') AS wide FROM customer")
+def octet_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "customer").select("c_custkey", F.octet_length("c_name").cast("bigint").alias("bytes"), F.octet_length(F.concat("c_mktsegment", F.lit(" é中"))).cast("bigint").alias("wide"))
+
+
 @query()
 def log_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = with_tokens(load(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "text")
@@ -428,13 +485,11 @@ def file_metadata_injection(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, event_type, value FROM events")
 def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sorted ZSTD Parquet in the shared folder, read again."""
-    import tempfile
     import uuid
 
     from sparktel.sources.readers import write_parquet
 
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="sparktel-")
-    path = f"{folder.rstrip('/')}/events-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/events-{uuid.uuid4().hex}"
     write_parquet(load(spark, sf_dir, "events").select("event_id", "event_type", "value"), path, ["event_type", "event_id"])
     return spark.read.parquet(path)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from sparktel.operators import enrich
 from sparktel.operators.flatten import flatten_attributes
 from sparktel.session import ship
 from sparktel.sources import decode
+from sparktel.sources.files import read_bytes
 from sparktel.sources.inputs import Input, parse_inputs, parse_list
 
 SIGNALS: dict[str, tuple[str, Callable]] = {"metrics": (decode.METRIC_SCHEMA, decode.metric_rows), "logs": (decode.LOG_SCHEMA, decode.log_rows), "traces": (decode.SPAN_SCHEMA, decode.span_rows)}
@@ -34,23 +36,24 @@ def batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    cols = []
-    for f, values in zip(schema, zip(*rows, strict=True), strict=True):
-        if pa.types.is_map(f.type):
-            values = [None if v is None else list(v.items()) for v in values]
-        elif pa.types.is_list(f.type) and pa.types.is_struct(f.type.value_type):
-            names = [x.name for x in f.type.value_type]
-            values = [None if v is None else [dict(zip(names, x, strict=True)) for x in v] for v in values]
-        cols.append(pa.array(values, f.type))
-    return pa.RecordBatch.from_arrays(cols, schema=schema)
-
-
-def _read_bytes(path: str) -> bytes:
-    import pyarrow.fs as pafs
-
-    fs, p = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-    with fs.open_input_file(p) as f:
-        return f.read()
+    return pa.RecordBatch.from_arrays([_column(values, f.type) for f, values in zip(schema, zip(*rows, strict=True), strict=True)], schema=schema)
+
+
+def _column(values: tuple, kind: pa.DataType) -> pa.Array:
+    """An Arrow column; maps and lists of structs by their flat parts, without an object a value."""
+    if pa.types.is_map(kind):
+        parts, own = [() if v is None else v.items() for v in values], (kind.key_type, kind.item_type)
+    elif pa.types.is_list(kind) and pa.types.is_struct(kind.value_type):
+        parts, own = [v or () for v in values], [f.type for f in kind.value_type]
+    else:
+        return pa.array(values, kind)
+    edges = [0, *accumulate(map(len, parts))]
+    flat = zip(*chain.from_iterable(parts), strict=True) if edges[-1] else [()] * len(own)
+    arrays = [pa.array(x, t) for x, t in zip(flat, own, strict=True)]
+    null = pa.array([v is None for v in values]) if None in values else None
+    if pa.types.is_map(kind):
+        return pa.MapArray.from_arrays(pa.array(edges, pa.int32()), *arrays).cast(kind) if null is None else pa.array([None if v is None else list(v.items()) for v in values], kind)
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.StructArray.from_arrays(arrays, fields=list(kind.value_type)), type=kind, mask=null)
 
 
 def decode_files(spark: SparkSession, signal: str, inputs: list[Input]) -> DataFrame:
@@ -66,7 +69,7 @@ def decode_files(spark: SparkSession, signal: str, inputs: list[Input]) -> DataF
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for r in part.to_pylist():
-                raw = decode.inflate(r["path"], _read_bytes(r["path"]))
+                raw = decode.inflate(r["path"], read_bytes(r["path"]))
                 more = (tuple((m["k"], m["v"]) for m in r["meta"] or []),) if signal == "logs" else ()
                 yield from batches(rows_of(raw, r["file"], *more), schema)
 
@@ -128,7 +131,7 @@ class OtlpReader(DataSourceReader):
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
         rows_of = SIGNALS[self.signal][1]
-        raw = decode.inflate(partition.path, _read_bytes(partition.path))
+        raw = decode.inflate(partition.path, read_bytes(partition.path))
         more = (tuple(partition.meta),) if self.signal == "logs" else ()
         yield from batches(rows_of(raw, partition.file, *more), self.schema)
 
@@ -159,11 +162,18 @@ class OtlpSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """The data source, and as SQL functions the hashes and sketch functions; views over files by `create_view`."""
+    """The data source "otlp" and the SQL functions of sqlfunctions; views over files are made by `create_view`."""
+    from sparktel.sources.sqlfunctions import register_functions
+
     ship(spark)
     spark.dataSource.register(OtlpSource)
-    spark.udf.register("otel_sketch_decode", enrich.sketch_decode)
-    spark.udf.register("otel_ulid", enrich.ulid)
+    register_functions(spark)
+
+
+def canonical(rows: DataFrame, signal: str, customer_id: str, flat: bool = False, **options) -> DataFrame:
+    """Decoded rows, as the data source or decode_content gives them, to the canonical table of their signal."""
+    df = {"metrics": enrich.metrics, "logs": enrich.logs, "traces": enrich.spans}[signal](rows, customer_id, **options)
+    return flatten_attributes(df) if flat else df
 
 
 def create_view(spark: SparkSession, name: str, signal: str, path: str, customer_id: str, **options) -> DataFrame:

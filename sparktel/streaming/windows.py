@@ -13,13 +13,14 @@ from sparktel.operators.logclusters import Clusterer
 
 
 def metric_windows(df: DataFrame, value: str = "chq_rollup_sum", time_ms: str = "chq_timestamp", width: str = "10 seconds", late: str = "1 minute", slide: str | None = None) -> DataFrame:
-    """Bins of each series and window: the sketch of a window is the sum of its bins.  Rows later than `late` are dropped.
+    """Slots of each series and window: the sketch of a window is the sum of its slots, of values of either sign and zero.
 
-    One row a (series, window, bin), so state is bounded by bins; `S.merge_bins` or `S.running_quantile` finish it.
+    Rows later than `late` are dropped, as are values that aren't finite.  One row a (series, window, slot), so state is
+    bounded by slots; `S.merge_bins` or `S.running_quantile` finish it.
     """
     v = F.col(value)
-    rows = df.where(S.usable(v) & (v > 0)).withColumn("_t", F.timestamp_millis(F.col(time_ms))).withWatermark("_t", late)
-    return rows.groupBy("metric_name", "chq_tid", F.window("_t", width, slide or width).alias("window"), S.bin_of(v).alias("idx")).agg(F.count("*").cast("double").alias("cnt"), F.sum(v).alias("total"), F.min(v).alias("low"), F.max(v).alias("high"))
+    rows = df.where(S.usable(v)).withColumn("_t", F.timestamp_millis(F.col(time_ms))).withWatermark("_t", late)
+    return rows.groupBy("metric_name", "chq_tid", F.window("_t", width, slide or width).alias("window"), S.slot_of(v).alias("idx")).agg(F.count("*").cast("double").alias("cnt"), F.sum(v).alias("total"), F.min(v).alias("low"), F.max(v).alias("high"))
 
 
 def span_sessions(df: DataFrame, gap: str = "5 seconds", late: str = "1 minute") -> DataFrame:

@@ -132,3 +132,38 @@ def test_sketch_codec_and_merge(xs, ys):
 def test_jaccard(spark):
     r = one(spark, a=A.jaccard(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b"), F.lit("c"))), b=A.jaccard(F.array().cast("array<string>"), F.array().cast("array<string>")))
     assert (r["a"], r["b"]) == (pytest.approx(1 / 3), 0.0)
+
+
+def test_single_sketch(spark):
+    values = [42.5, 1.0, -3.25, 0.0, -0.0, 1e300, 5e-324, -1e-5, float("nan"), float("inf"), None, 12345.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for r, v in zip(df.select(S.single(F.col("v")).alias("s")).collect(), values, strict=True):
+        s = S.Sketch()
+        if v is not None:
+            s.add(v)
+        assert bytes(r["s"]["sketch"]) == s.encode()
+        assert {k: r["s"][k] for k in S.ROLLUPS} == pytest.approx(s.rollups())
+    assert S.from_value(42.5).encode().hex() == "02fd4a815abf52f03f00000000000000000501f80202"
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.one_of(st.floats(-50, 50, allow_nan=False), st.just(0.0)), min_size=1, max_size=40))
+def test_signed_quantiles(spark, xs):
+    want = S.Sketch()
+    for x in xs:
+        want.add(x)
+    df = spark.createDataFrame([(1, x) for x in xs], "g int, v double")
+    got = S.sketch_groups(df, ["g"], "v").first()
+    slots = df.groupBy("g", S.slot_of(F.col("v")).alias("idx")).agg(F.count("*").alias("cnt"))
+    assert got["rollup_count"] == len(xs)
+    for n, q in list(S.QUANTILES.items())[::2]:
+        assert got[f"rollup_{n}"] == pytest.approx(want.quantile(q)) == S.running_quantile(slots, ["g"], q).first()["quantile"]
+
+
+def test_unsigned_times(spark):
+    signed = lambda n: n - (1 << 64) if n >= 1 << 63 else n
+    times = [0, 1, 999_999, 10**18, 2**63 - 1, 2**63, 2**63 + 12345678901234567, 2**64 - 1]
+    rows = spark.createDataFrame([(signed(t),) for t in times], "t bigint").select(A.millis(F.col("t")), A.slot_ms(F.col("t"))).collect()
+    assert [tuple(r) for r in rows] == [(t // 10**6, t // 10**6 // 10_000 * 10_000) for t in times]
+    d = spark.createDataFrame([(signed(2**63 - 10**6), signed(2**63 + 5 * 10**6))], "a bigint, b bigint").select(A.duration_ms(F.col("a"), F.col("b"))).first()[0]
+    assert d == (2**63 + 5 * 10**6) // 10**6 - (2**63 - 10**6) // 10**6

@@ -6,6 +6,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sparktel.functions import attributes as A
+from sparktel.functions import hashing as H
 from sparktel.functions.sketch import Sketch
 from sparktel.operators.flatten import flatten_attributes
 from sparktel.sources import decode, inputs
@@ -23,7 +25,7 @@ def attribute(target, key, value):
 def metrics_payload() -> bytes:
     q = messages()["Metrics"]()
     rm = q.resource_metrics.add()
-    for k, v in (("service.name", "test-service"), ("host.name", "h"), ("k8s.pod.name", "pod-123")):
+    for k, v in (("service.name", "test-service"), ("host.name", "h"), ("k8s.pod.name", "pod-zx")):
         attribute(rm.resource, k, v)
     sm = rm.scope_metrics.add()
     sm.scope.name, sm.scope.version = "test-scope", "1.0.0"
@@ -157,6 +159,8 @@ def test_data_source_and_view(spark, folder):
     assert df.count() == 3 and df.select("name").where("kind = 3").first()[0] == "child"
     R.create_view(spark, "m", "metrics", str(folder / "m1.binpb"), "c")
     assert spark.sql("SELECT count(*) FROM m WHERE chq_metric_type = 'histogram'").first()[0] == 3
+    spans = R.canonical(df, "traces", "c", flat=True)
+    assert spans.where("span_name = 'root'").first()["span_duration"] == 50 and "resource_service_name" in spans.columns
     with pytest.raises(Exception, match="signal"):
         spark.read.format("otlp").option("signal", "x").load("y").count()
 
@@ -181,3 +185,22 @@ def test_sql_calls(spark, folder):
     for bad in (f"SELECT * FROM otel_metrics_read('{folder}/m1.binpb')", f"SELECT * FROM otel_traces_read('{folder}/t.binpb', customer_id='c', x='y')"):
         with pytest.raises(ValueError):
             sql(spark, bad)
+
+
+def test_sql_functions(spark):
+    R.register(spark)
+    one = lambda x: spark.sql(f"SELECT {x}").first()[0]
+    same = lambda c: spark.range(1).select(c).first()[0]
+    text = "Service.Näme 中"
+    assert one(f"otel_normalize('{text}')") == same(A.normalize_name(F.lit(text))) and one("otel_keeps_resource('app')") is True
+    assert one(f"otel_hash('{text}')") == same(H.poly31(F.lit(text))) and one(f"otel_fnv1a('{text}')") == same(H.fnv1a(F.lit(text)))
+    assert one("otel_field_fingerprint('a', 'b')") == same(H.field_fingerprint("a", F.lit("b"))) and one(f"otel_trigrams('{text}')") == same(H.trigrams(F.lit(text)))
+    tags = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in (("resource_b", "1"), ("metric_name", "m"), ("other", "x"), ("attr_a", ""))])
+    assert one("otel_tid(map('resource_b', '1', 'metric_name', 'm', 'other', 'x', 'attr_a', ''))") == same(H.tid(tags))
+    assert one("otel_slot_ms(-1)") == (2**64 - 1) // 10**6 // 10_000 * 10_000 and one("otel_span_kind(2)") == "SPAN_KIND_SERVER" and one("otel_status_code(9)") == "STATUS_CODE_UNSET" and one("otel_metric_type('sum')") == "count"
+    assert one("otel_jaccard(array('a', 'b'), array('b', 'c'))") == pytest.approx(1 / 3)
+    assert one("otel_may_hold(array(otel_field_fingerprint('metric_name', 'm')), 'metric_name', 'm')") is True
+    got = spark.sql("SELECT otel_sketch_quantile(otel_sketch_merge(s), 0.5D) AS p, otel_sketch_decode(otel_sketch_merge(s)).zero AS z FROM (SELECT otel_sketch(id - 2D) AS s FROM range(5) GROUP BY id % 2)").first()
+    assert tuple(got) == (0.0, 1.0)
+    row = spark.sql("SELECT r.* FROM (SELECT otel_tokenize(m) AS r, m FROM VALUES ('disk full on 10.0.0.1'), (NULL) AS t(m)) ORDER BY m NULLS LAST").collect()
+    assert row[0]["tokens"] == ["disk", "full", "on", "<IPv4>"] and row[0]["fingerprint"] is not None and row[1]["tokens"] is None
