@@ -47,10 +47,12 @@ ROWS = 32
 def presence(data: np.ndarray, out: np.ndarray) -> None:
     """Set out[o, code] for each n-gram of a text, blanks collapsed, a blank at both ends; whatever its length."""
     out[:] = 0
+    before = np.array([_BLANK], np.uint32)  # the last symbols of what came before, which the next n-grams begin with
     for lo in range(0, max(len(data), 1), th.BLOCK_BYTES):
-        part = data[max(0, lo - 8) : lo + th.BLOCK_BYTES]
-        b = np.concatenate([[_BLANK], _FOLD[part], [_BLANK]]).astype(np.uint32)
+        part = data[lo : lo + th.BLOCK_BYTES]
+        b = np.concatenate([before, _FOLD[part], [_BLANK] * (lo + th.BLOCK_BYTES >= len(data))]).astype(np.uint32)
         b = b[np.concatenate([[True], (b[1:] != _BLANK) | (b[:-1] != _BLANK)])]
+        before = b[1 - max(ORDERS) :]
         two = b[:-1] << np.uint32(8) | b[1:]
         out[0, two] = 1
         if len(b) > 2:
