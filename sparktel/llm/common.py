@@ -38,6 +38,34 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Workspace:
+    """The work tables of one call: a folder under the shared one, removed on leaving, whether or not the call succeeds."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.name = spark, work_dir(spark, name), name
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove(self.spark, self.folder)
+        release(self.spark)
+
+    def path(self, name: str) -> str:
+        """A fresh path in the folder."""
+        return f"{self.folder}/{name}-{uuid.uuid4().hex}"
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """df as a Parquet table of the workspace, read again: cuts lineage and survives lost executors."""
+        path = self.path(name)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        """df as a table that outlives the workspace: what a call returns if it depends on work tables."""
+        return written(self.spark, df, f"{self.name}-result")
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read again: cuts lineage and survives lost executors."""
     path = work_dir(spark, name)

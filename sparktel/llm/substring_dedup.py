@@ -5,7 +5,8 @@ stands for up to n - k + 1 windows, so the index holds about 2 / (n - k + 2) has
 
 * `RunIndex` keeps fingerprints in immutable runs: tables sorted and bucketed by hash, one per batch.  A new batch is
   aggregated, merge-joined with each run without moving the runs, and written as the next run, in which a hash seen
-  before (or twice in the batch) is marked as repeated.  More than `fan_in` runs are compacted into one.
+  before (or twice in the batch) is marked as repeated.  More than `fan_in` runs are compacted into one.  An index in a
+  folder of its own can be opened again by a later session, which appends to it.
 * Only a repeated fingerprint can stand for a repeated window.  Its occurrences are told apart by the hash of all
   words that any window around it can hold.  Equal contexts repeat whole; of each context under a fingerprint with
   several, one text sends the windows themselves.
@@ -27,19 +28,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktel.llm import texthash as th
-from sparktel.llm.common import remove, row_key, shuffle_partitions, work_dir, written
+from sparktel.llm.common import Workspace, remove, row_key, shuffle_partitions, work_dir
 
 
 class RunIndex:
     """Sorted immutable runs of (hash long, repeated boolean); hashes are distinct within a run."""
 
-    def __init__(self, spark: SparkSession, fan_in: int = 4):
+    def __init__(self, spark: SparkSession, fan_in: int = 4, folder: str | None = None):
         self.spark, self.fan_in = spark, fan_in
-        self.buckets = shuffle_partitions(spark)
+        self.buckets, self.folder = shuffle_partitions(spark), folder or work_dir(spark, "index")
         self.runs: list[tuple[str, str]] = []
 
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str, fan_in: int = 4) -> RunIndex:
+        """The index that save() left in a folder."""
+        index = cls(spark, fan_in, folder)
+        for r in spark.read.schema("path string, buckets int").json(f"{folder}/manifest").orderBy("path").collect():  # a row a run
+            name, path, index.buckets = f"sparktel_run_{uuid.uuid4().hex}", r["path"], r["buckets"]
+            spark.sql(f"CREATE TABLE {name} (hash BIGINT, repeated BOOLEAN) USING parquet CLUSTERED BY (hash) SORTED BY (hash) INTO {index.buckets} BUCKETS LOCATION '{path}'")
+            index.runs.append((name, path))
+        return index
+
+    def save(self) -> str:
+        """Write which runs there are; the folder."""
+        rows = self.spark.createDataFrame([(path, self.buckets) for _, path in self.runs], "path string, buckets int")
+        rows.coalesce(1).write.mode("overwrite").json(f"{self.folder}/manifest")
+        return self.folder
+
+    def close(self) -> None:
+        """Forget the catalog's tables; the files stay."""
+        for name, _ in self.runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.runs = []
+
     def _write(self, df: DataFrame) -> None:
-        name, path = f"sparktel_run_{uuid.uuid4().hex}", work_dir(self.spark, "run")
+        name, path = f"sparktel_run_{uuid.uuid4().hex}", f"{self.folder}/run-{uuid.uuid4().hex}"
         df.select("hash", "repeated").write.bucketBy(self.buckets, "hash").sortBy("hash").option("path", path).option("compression", "zstd").option("parquet.writer.version", "v2").option("parquet.enable.dictionary", "false").saveAsTable(name)
         self.runs.append((name, path))
 
@@ -78,9 +101,9 @@ class RunIndex:
         remove(self.spark, path)
 
     def drop(self) -> None:
-        for name, path in self.runs:
-            self._forget(name, path)
-        self.runs = []
+        """Remove the index with all its runs."""
+        self.close()
+        remove(self.spark, self.folder)
 
 
 def _anchors(w: th.Words, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,42 +223,50 @@ def _kept(docs: DataFrame, kind: str, n: int, k: int, with_text: bool) -> DataFr
     return docs.select("key", "text", "whole", "marks").mapInArrow(run, f"key {kind}, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * with_text)
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", body: str = "text", n: int = 35, k: int = 16, batches: int = 2, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", body: str = "text", n: int = 35, k: int = 16, batches: int = 4, fan_in: int = 2, with_text: bool = False) -> DataFrame:
     """Per row: key, n_words, n_removed, kept_sha256 and, with_text, kept_text.
 
     A word goes if a window of n words that covers it also starts anywhere else, in the same text or another; windows
-    are judged on the input.  The rows come in `batches` by hash, as they would over time.  A null text has no words;
+    are judged on the input.  The rows come in `batches` by hash, as they would over time, to an index that compacts more
+    than `fan_in` runs and goes at the end.  The result is a written table.  A null text has no words;
     a null key stays null; repeated rows are different places, so they remove each other; a text of fewer than n words
     keeps all; an empty table gives an empty one; no other column is read.
     """
     if not 1 <= k <= n:
         raise ValueError("1 <= k <= n is needed")
-    spark, parts = docs.sparkSession, shuffle_partitions(docs.sparkSession)
+    spark = docs.sparkSession
     src = docs.select(docs[key].alias("key"), F.coalesce(docs[body].cast("string"), F.lit("")).alias("text"))
     src = src.withColumn("rid", row_key(src, "key", "text"))
 
-    index = RunIndex(spark)
-    for b in range(batches):
-        index.append(_fingerprints(src.where(F.pmod("rid", F.lit(batches)) == b), n, k, False))
-    found = _fingerprints(src, n, k, True).join(index.repeated().hint("merge"), "hash")
-    found = written(spark, found, "occurrences")
-    index.drop()
+    with Workspace(spark, "substring-dedup") as space:
+        index = RunIndex(spark, fan_in, space.path("index"))
+        try:
+            for b in range(batches):
+                index.append(_fingerprints(src.where(F.pmod("rid", F.lit(batches)) == b), n, k, False))
+            found = _fingerprints(src, n, k, True).join(index.repeated().hint("merge"), "hash")
+            found = space.written(found, "occurrences")
+        finally:
+            index.drop()
+        return space.kept(_removed(space, src, found, docs.schema[key].dataType.simpleString(), n, k, with_text).withColumnRenamed("key", key))
+
 
+def _removed(space: Workspace, src: DataFrame, found: DataFrame, kind: str, n: int, k: int, with_text: bool) -> DataFrame:
+    """The result, from the occurrences found(rid, hash, context, n) of repeated fingerprints."""
     contexts = found.groupBy("context", "hash").agg(F.sum("n").alias("times"), F.min("rid").alias("own"))
     several = contexts.groupBy("hash").agg((F.min("context") != F.max("context")).alias("several")).where("several").select("hash", "several")
     contexts = contexts.join(several, "hash", "left").where("times > 1 or several")
     state = contexts.select("context", (F.col("times") > 1).alias("whole"), F.when(F.col("several"), F.col("own")).alias("own"))
     state = found.select("rid", "context").join(state.hint("merge"), "context")
     per = state.groupBy("rid").agg(F.collect_set(F.when(F.col("whole"), F.col("context"))).alias("whole"), F.collect_set(F.when(F.col("own") == F.col("rid"), F.col("context"))).alias("own"))
-    per = written(spark, per, "contexts")
+    per = space.written(per, "contexts")
 
-    placed = src.select("rid", "key", "text").repartition(parts, "rid")
+    placed = src.select("rid", "key", "text").repartition(shuffle_partitions(space.spark), "rid")
     sent = _windows(placed.join(per.where(F.size("own") > 0).select("rid", "own").hint("merge"), "rid").select("rid", "text", "own"), n, k)
-    sent = written(spark, sent, "windows")
+    sent = space.written(sent, "windows")
     again = sent.groupBy("w1", "w2").agg(F.count("*").alias("times")).where("times > 1").select("w1", "w2")
     marks = sent.join(again.hint("merge"), ["w1", "w2"], "left_semi").groupBy("rid").agg(F.collect_set("w1").alias("marks"))
     last = placed.join(per.select("rid", "whole").hint("merge"), "rid", "left").join(marks.hint("merge"), "rid", "left")
-    return _kept(last, docs.schema[key].dataType.simpleString(), n, k, with_text).withColumnRenamed("key", key)
+    return _kept(last, kind, n, k, with_text)
 
 
 ORACLE = r"""
