@@ -8,8 +8,9 @@ hit covers is exactly the union of the item windows that occur around it.
 Items of fewer than n words are one window each and are found through the hashes of all document spans of their
 length; such lengths are at most n - 1 and are only looked at if an item has them.
 
-The test side is broadcast if it has at most `broadcast_bytes`, which is counted first; beyond that the join shuffles.
-Long texts are cut into blocks that overlap by n - 1 words, so no array grows with the text.
+The test side, item ids included, is broadcast if it has at most `broadcast_bytes`, which are added up first; beyond that
+both sides are shuffled, and a 7-gram that many texts hold is split where Spark handles skew.  Rows are told apart by key
+and text, so a task that runs again gives the same; equal rows are judged once and counted.  Long texts are cut into blocks that overlap by n - 1 words, so no array grows with the text.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktel.llm.common import fits_broadcast
+from sparktel.llm.common import row_key
 
 #: Fixed values of the contract: what separates words, after A-Z is lower-cased.
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -92,23 +93,24 @@ def hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", body: str = "te
     brief = tests.where(F.size("w").between(1, n - 1)).select("id", F.transform("w", lambda v: F.xxhash64(v)).alias("ctx")).select("id", F.xxhash64("ctx").alias("h"), F.size("ctx").alias("m"), F.lit(0).alias("off"), "ctx")
     tests = long.unionByName(brief).groupBy("h", "m", "off", "ctx").agg(F.collect_set("id").alias("items"))
     tests = tests.select("h", "m", F.col("off").alias("toff"), F.col("ctx").alias("tctx"), "items")
-    small = fits_broadcast(tests, 64 + 8 * 3 * n, broadcast_bytes)
+    size = tests.agg(F.sum(64 + 8 * F.size("tctx") + F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 16))).first()[0] or 0
 
-    rows = docs.select(F.struct(F.monotonically_increasing_id().alias("row"), docs[key].alias("key")).alias("id"), words(docs[body]).alias("w"))
+    rows = docs.select(F.struct(docs[key].alias("key"), row_key(docs, key, body).alias("row")).alias("id"), words(docs[body]).alias("w"))
     found = _fingerprints(rows, n, k, short, True).select("id", "n", "b", "s.*")
-    if small:
+    if size <= broadcast_bytes:
         found = found.join(F.broadcast(tests), ["h", "m"], "left").where("items is not null or m is null")
     else:
-        found = found.where("m is not null").repartition("h", "m").join(tests, ["h", "m"]).unionByName(found.where("m is null"), allowMissingColumns=True)
+        found = found.where("m is not null").join(tests.hint("merge"), ["h", "m"]).unionByName(found.where("m is null"), allowMissingColumns=True)
     left = _agree(F.col("ctx"), F.col("tctx"), F.col("off") - 1, F.col("toff") - 1, -1, n - k)
     right = _agree(F.col("ctx"), F.col("tctx"), F.col("off") + k, F.col("toff") + k, 1, n - k)
     same = F.slice("ctx", F.col("off") + 1, k) == F.slice("tctx", F.col("toff") + 1, k)
     at = F.col("b") + F.col("p")
     span = F.when(F.col("m") > 0, F.when(F.col("ctx") == F.col("tctx"), F.struct(at.alias("s"), (at + F.col("m")).alias("e")))).when(same & (F.col("l") + F.col("r") + k >= n), F.struct((at - F.col("l")).alias("s"), (at + k + F.col("r")).alias("e")))
     found = found.withColumns({"l": F.when(F.col("m") == 0, left), "r": F.when(F.col("m") == 0, right)}).withColumn("span", F.when(F.col("m").isNotNull(), span))
-    per = found.groupBy("id").agg(F.max(F.when(F.col("m").isNull(), F.col("n"))).alias("n_words"), F.collect_set("span").alias("spans"), F.collect_set(F.when(F.col("span").isNotNull(), F.col("items"))).alias("items"))
+    per = found.groupBy("id").agg(F.count(F.when(F.col("m").isNull(), 1)).alias("rows"), F.max(F.when(F.col("m").isNull(), F.col("n"))).alias("n_words"), F.collect_set("span").alias("spans"), F.collect_set(F.when(F.col("span").isNotNull(), F.col("items"))).alias("items"))
     union = F.aggregate(F.array_sort("spans"), F.struct(F.lit(0).alias("end"), F.lit(0).alias("sum")), lambda a, x: F.struct(F.greatest(a["end"], x["e"]).alias("end"), (a["sum"] + F.greatest(F.lit(0), x["e"] - F.greatest(a["end"], x["s"]))).alias("sum")))["sum"]
-    return per.select(F.col("id.key").alias(key), F.col("n_words").cast("long").alias("n_words"), union.cast("long").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
+    out = per.select("rows", F.col("id.key").alias(key), F.col("n_words").cast("long").alias("n_words"), union.cast("long").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
+    return out.withColumn("rows", F.explode(F.sequence(F.lit(1), "rows"))).drop("rows")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, share: int = 20, **names) -> DataFrame:
