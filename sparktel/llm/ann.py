@@ -4,9 +4,13 @@
   group of components a codebook of residuals.  Everything else covers all rows.
 * Equal vectors are one class: its first k + 1 ids are kept, which is all that k results can use, so a vector with
   very many copies is indexed and scanned once.
-* Index: every class's cell, code, vector and its distance from what the code stands for, a written table sorted by cell.
-* Search: the queries come in blocks of `query_block`; a block is sent to all tasks, each streams its part of the
-  index and, for the cells that a query probes, sums asymmetric distances from the query's own tables.
+* Index: every class's cell, code, vector and its distance from what the code stands for, a written table dealt out in
+  ranges of cells and sorted by cell, so that a file's footer tells which cells it holds.
+* Probes: the fewest cells that hold `recall` of the nearest sampled neighbours of sampled vectors, found by brute force
+  within the sample.  Vectors without clusters need most cells, others few.
+* Search: the queries come in blocks of `query_block`, in the order of their nearest cells, so a block's queries share
+  cells and its job reads only these.  Each task streams its part of the index and, for the cells that a query probes,
+  sums asymmetric distances from the query's own tables.
 * Reranking: by the triangle inequality a vector is no nearer than its asymmetric distance less its code's error.  The
   task measures candidates exactly, in double precision on the original vectors, least bound first and `rerank` at a
   time, until the bounds of all others are above its k-th best: no candidate of a probed cell is left out unproven.
@@ -14,6 +18,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparktel.llm.common import shuffle_partitions, work_dir, written
+from sparktel.llm.common import Workspace, shuffle_partitions
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 7) -> np.ndarray:
@@ -97,56 +102,72 @@ def _valid(v: Column) -> Column:
     return v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
 
 
-def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", body: str = "embedding", k: int = 10, cells: int | None = None, probes: int | None = None, groups: int = 16, rerank: int = 300, sample_rows: int = 20_000, query_block: int = 2048) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", body: str = "embedding", k: int = 10, cells: int | None = None, probes: int | None = None, groups: int = 16, rerank: int = 300, sample_rows: int = 20_000, query_block: int = 4096, recall: float = 0.97) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k nearest found by Euclidean distance, ties to the smaller id.
 
     is_query is a condition on the key column.  Null ids and vectors that are null, empty, zero or hold a null or non-finite component take no part,
     nor do vectors whose length isn't the commonest one (ties: the larger).  Rows with equal id and vector are one.  All candidates, if fewer than k; an empty table gives an
-    empty one; no other column is read.  By default cells is the root of the number of classes, 4096 at most, and two
-    thirds of the cells are probed, 8 at least: vectors without clusters need that for a recall above 0.9.
+    empty one; no other column is read.  By default cells is the root of the number of classes, 4096 at most.  Components
+    are scaled by a power of two, which is exact, so that none overflows on the way; the result is a written table.
     """
     spark = vectors.sparkSession
     rows = vectors.select(vectors[key].cast("bigint").alias("id"), vectors[body].cast("array<double>").alias("v")).where(F.col("id").isNotNull() & _valid(F.col("v")))
-    shape = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+    shape = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("count"), F.max(F.array_max(F.transform("v", F.abs))).alias("most")).orderBy(F.desc("count"), F.desc("d")).first()
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     if shape is None:
         return spark.createDataFrame([], schema)
-    d = shape["d"]
+    d, scale = shape["d"], 2.0 ** min(1000, math.frexp(shape["most"])[1])
+    with Workspace(spark, "ann") as space:
+        return space.kept(_search(space, rows, d, scale, is_query, key, k, cells, probes, groups, rerank, sample_rows, query_block, recall))
+
+
+def _search(space: Workspace, rows: DataFrame, d: int, scale: float, is_query: Column, key: str, k: int, cells: int | None, probes: int | None, groups: int, rerank: int, sample_rows: int, query_block: int, recall: float) -> DataFrame:
+    spark = space.spark
     rows = rows.where(F.size("v") == d).withColumns({"c1": F.xxhash64("v"), "c2": F.xxhash64(F.lit(5), F.col("v"))})
     unique = rows.groupBy("c1", "c2", "id").agg(F.first("v").alias("v"))
     order = Window.partitionBy("c1", "c2").orderBy("id")
-    members = written(spark, unique.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1), "ann-members")
+    members = space.written(unique.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1), "members")
     classes = members.where("n = 1").select("c1", "c2", "id", "v")
     count = classes.count()
     cells = cells or max(1, min(4096, round(count**0.5)))
-    probes = min(cells, probes or max(8, -(-2 * cells // 3)))
 
     span = float(1 << 64)
     rate = 1.1 * sample_rows / count
     drawn = classes if rate >= 1 else classes.where((F.xxhash64("c1", F.lit(9)).cast("double") + span / 2) / span < rate)
-    sample = _matrix(drawn.orderBy("c1", "c2").limit(sample_rows).select("v").toArrow()["v"].combine_chunks(), np.float32, d)
-    quantizer = spark.sparkContext.broadcast(Quantizer.train(sample, cells, groups))
+    sample = (_matrix(drawn.orderBy("c1", "c2").limit(sample_rows).select("v").toArrow()["v"].combine_chunks(), np.float64, d) / scale).astype(np.float32)
+    own = Quantizer.train(sample, cells, groups)
+    cells = len(own.coarse)
+    probes = min(cells, probes) if probes else needed_probes(own, sample, k, recall)
+    quantizer = spark.sparkContext.broadcast(own)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = quantizer.value
         for batch in batches:
-            x = _matrix(batch.column(3), np.float64, d)
+            x = _matrix(batch.column(3), np.float64, d) / scale
             cell, code = q.encode(x.astype(np.float32))
             yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(q.errors(x, cell, code)), *batch.columns], ["cell", "code", "error", "c1", "c2", "id", "v"])
 
     placed = classes.select("c1", "c2", "id", "v").mapInArrow(index, "cell int, code binary, error double, c1 bigint, c2 bigint, id bigint, v array<double>")
-    table = written(spark, placed.repartition(shuffle_partitions(spark), F.col("cell")).sortWithinPartitions("cell"), "ann-index")
+    table = space.written(placed.repartitionByRange(shuffle_partitions(spark), "cell", "c1").sortWithinPartitions("cell"), "index")
+
+    def nearest_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = (_matrix(batch.column(1), np.float64, d) / scale).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest(x, quantizer.value.coarse).astype(np.int32))], ["id", "v", "cell"])
 
     asked = unique.select("id", "v").withColumnRenamed("id", key).where(is_query).withColumnRenamed(key, "id")
-    asked = written(spark, asked, "ann-queries")
-    found = work_dir(spark, "ann-candidates")
+    asked = space.written(asked.mapInArrow(nearest_cell, "id bigint, v array<double>, cell int"), "queries").orderBy("cell", "id")
+    found = space.path("candidates")
     block: list[tuple[int, list[float]]] = []
     wrote = False
 
     def run(block: list[tuple[int, list[float]]]) -> None:
-        ids, q = np.array([b[0] for b in block]), np.array([b[1] for b in block], np.float64)
-        scan = _scan(spark.sparkContext.broadcast((ids, q)), quantizer, probes, k + 1, rerank)
-        best = table.mapInArrow(scan, "query_id bigint, c1 bigint, c2 bigint, id bigint, score double")
+        ids, q = np.array([b[0] for b in block]), np.array([b[1] for b in block], np.float64) / scale
+        who = probed(q, own.coarse, probes)
+        scan = _scan(spark.sparkContext.broadcast((ids, q)), quantizer, probes, k + 1, rerank, scale)
+        some = np.flatnonzero(who.any(axis=0)).tolist()
+        part = table if len(some) == cells else table.where(F.col("cell").isin(some))
+        best = part.mapInArrow(scan, "query_id bigint, c1 bigint, c2 bigint, id bigint, score double")
         first = Window.partitionBy("query_id").orderBy("score", "id")
         best.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).select("query_id", "c1", "c2", "score").write.mode("append").parquet(found)
 
@@ -158,27 +179,51 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", body: str
     if block:
         run(block)
     elif not wrote:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
 
     near = spark.read.schema("query_id bigint, c1 bigint, c2 bigint, score double").parquet(found)
     near = near.join(members.select("c1", "c2", F.col("id").alias("vec_id")), ["c1", "c2"]).where("query_id != vec_id")
     final = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return near.select("query_id", F.row_number().over(final).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    return near.select("query_id", F.row_number().over(final).alias("rank"), "vec_id", (F.col("score") * scale).alias("score")).where(F.col("rank") <= k)
 
 
-def _scan(asked, quantizer, probes: int, most: int, rerank: int):
+def probed(q: np.ndarray, coarse: np.ndarray, probes: int) -> np.ndarray:
+    """Which cells each query probes: (queries, cells)."""
+    far = distances(q.astype(np.float32), coarse)
+    if probes >= far.shape[1]:
+        return np.ones(far.shape, bool)
+    who = np.zeros(far.shape, bool)
+    np.put_along_axis(who, np.argpartition(far, probes - 1, axis=1)[:, :probes], True, axis=1)
+    return who
+
+
+def needed_probes(quantizer: Quantizer, sample: np.ndarray, k: int, recall: float, queries: int = 200) -> int:
+    """The fewest nearest cells of a query that hold the share `recall` of its k nearest in the sample, over some sampled queries.
+
+    All neighbours of the table are nearer than those of a sample of it, so it needs no more.
+    """
+    cells, at = len(quantizer.coarse), nearest(sample, quantizer.coarse)
+    need = []
+    for x in range(0, min(queries, len(sample))):
+        q = sample[x : x + 1]
+        near = np.argsort(distances(q, sample)[0], kind="stable")[: k + 1]
+        order = np.empty(cells, np.int64)
+        order[np.argsort(distances(q, quantizer.coarse)[0], kind="stable")] = np.arange(1, cells + 1)
+        need.append(order[at[near[near != x][:k]]])
+    ranks = np.sort(np.concatenate(need)) if need else np.zeros(0, np.int64)
+    return int(min(cells, max(8, ranks[math.ceil(recall * len(ranks)) - 1]))) if len(ranks) else cells
+
+
+def _scan(asked, quantizer, probes: int, most: int, rerank: int, scale: float):
     """The task of a search: index rows to each query's `most` nearest classes of them, exactly measured, ties to the smaller id.
 
-    `most` is one more than the results, as the query's own class may hold no other row.
+    Queries and distances are in units of `scale`.  `most` is one more than the results, as the query's own class may hold no other row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quant, (ids, q) = quantizer.value, asked.value
         coarse = quant.coarse.astype(np.float64)
-        far = distances(q.astype(np.float32), quant.coarse)
-        probed = np.argpartition(far, probes - 1, axis=1)[:, :probes] if probes < far.shape[1] else np.broadcast_to(np.arange(far.shape[1]), far.shape)
-        who = np.zeros(far.shape, bool)
-        np.put_along_axis(who, probed, True, axis=1)
+        who = probed(q, quant.coarse, probes)
         # What rounding in double precision can add to a bound, with a wide margin.
         norm, middle = np.sqrt((q * q).sum(1)), np.sqrt((coarse * coarse).sum(1))
         best: dict[int, tuple[np.ndarray, ...]] = {}
@@ -187,7 +232,7 @@ def _scan(asked, quantizer, probes: int, most: int, rerank: int):
             cell, error = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             code = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(cell), -1)
             c1, c2, key = (batch.column(i).to_numpy() for i in (3, 4, 5))
-            x = _matrix(batch.column(6), np.float64, q.shape[1])
+            x = _matrix(batch.column(6), np.float64, q.shape[1]) / scale
             for c in np.unique(cell).tolist():
                 at = np.flatnonzero(cell == c)
                 queries = np.flatnonzero(who[:, c])

@@ -72,6 +72,30 @@ def test_ann_of_near_copies(spark):
         assert hits >= 0.99 * 10 * len(group), hits / (10 * len(group))
 
 
+def test_ann_of_huge_and_tiny_components(spark):
+    r = np.random.default_rng(5)
+    for size in (1e30, 1e-30):
+        x = r.normal(size=(300, 8)) * size
+        rows = [(i, v) for i, v in enumerate(x.tolist())]
+        df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+        want = brute_nearest(rows, [0, 100, 200], 5)
+        got = {}
+        for y in ann.search(df, F.col("vec_id") % 100 == 0, k=5, probes=10**6).collect():
+            got.setdefault(y["query_id"], []).append((y["rank"], y["vec_id"], y["score"]))
+        for q in want:
+            assert [(v, pytest.approx(s, rel=1e-12)) for _, v, s in sorted(got[q])] == want[q]
+
+
+def test_probes_follow_the_vectors():
+    """Vectors in groups need few cells, vectors without any need most."""
+    r = np.random.default_rng(2)
+    middles = r.normal(size=(40, 16)) * 20
+    for x, low, high in ((middles[r.integers(0, 40, 4000)] + r.normal(size=(4000, 16)), 0, 20), (r.normal(size=(4000, 16)), 20, 63)):
+        x = x.astype(np.float32)
+        q = ann.Quantizer.train(x, 63, 4)
+        assert low < ann.needed_probes(q, x, 10, 0.97) <= high
+
+
 def test_warc_files(tmp_path):
     pages = [(1, "http://a/ b<>", b"x" * 100_000), (2, None, b""), (None, "u\r\nx", "é".encode())]
     raw = b"".join(warc.record(p, u, b, None, False, "2024-01-01T00:00:00Z") for p, u, b in pages) + warc.record(9, "http://r", b"x" * 100_000, 1, True, "2024-01-01T00:00:00Z")
@@ -165,49 +189,6 @@ def test_query_sql(name, spark, duck):
     same_rows(queries.queries()[name](spark, SF), duck, queries.oracle_sql()[name])
 
 
-def test_pipeline(spark):
-    import re
-
-    import corpus_pipeline
-    from sparktel.llm.queries import tokenizer
-    from test_text_ops import brute_components, brute_hits, corpus
-
-    import sentencepiece
-
-    r = random.Random(4)
-    rows = [(i, t, "en", f"s{i}" if i else None, 1) for i, t in corpus() if not t or len(t) < 5000]
-    rows += [(100 + i, f"line of {i} " + " ".join(r.choice(["ab", "cd", "ef"]) + str(r.randrange(999)) for _ in range(12)) + "\nmenu", "en", "site", 1) for i in range(30)]
-    bench = [(1, rows[20][1].split("\n")[0])]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    held = docs
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        if name == "decontamination":
-            import sparktel.llm.decontamination as dc
-
-            table = spark.createDataFrame(bench, "item_id bigint, text string")
-            found = dc.decontaminate(held.withColumn("_key", corpus_pipeline._key(held)), table, key="_key").where("contaminated")
-            held = corpus_pipeline._without(held.withColumn("_key", corpus_pipeline._key(held)), found).select(*docs.columns)
-        else:
-            held = stage(spark, held, SF)
-        assert held.columns == docs.columns
-    got = sorted((x["doc_id"] or 0, x["text"], x["n_chars"]) for x in held.collect())
-    want = [(i, t) for i, t, *_ in rows if t and any(c.isalpha() for c in t)]
-    want = [(i, t.replace("\nmenu", "")) for i, t in want]
-    label = dict(zip(range(len(want)), brute_components(want), strict=True))
-    want = list(dict.fromkeys(w for k, w in enumerate(want) if label[k][2] == w[0]))
-    bad = set()
-    for k, line in enumerate([brute_hits([w], bench)[0] for w in want]):
-        n, hit = map(int, re.search(r", (\d+), (\d+), \[", line).groups())
-        if hit and 20 * hit >= n:
-            bad.add(k)
-    want = sorted((i or 0, t, len(t)) for k, (i, t) in enumerate(want) if k not in bad)
-    assert got == want and bad
-    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer("piece_bpe_32k.model"))
-    last = corpus_pipeline.STAGES[-1][1](spark, held, SF).collect()
-    assert sorted(str(list(x["ids"])) for x in last) == sorted(str([*sp.encode(t), 2]) for _, t, _ in want)
-    assert corpus_pipeline.run(spark, SF).count() > 0
-
-
 def test_pipeline_decodes(spark):
     import corpus_pipeline
     from sparktel.llm.queries import tokenizer
