@@ -46,22 +46,84 @@ _ATTR = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'
 _WORD = re.compile(r"[a-z]+")
 
 
+class Element:
+    """An open element: its parent, the nearest block-level tag from it on, its own features and those that no open ancestor has.
+
+    Blocks share their ancestors, so a page's memory grows with its length however deep it nests.
+    """
+
+    __slots__ = ("fresh", "name", "near", "own", "parent", "score")
+
+    def __init__(self, parent: Element | None, name: str, own: tuple[str, ...], fresh: list[str]):
+        self.parent, self.name, self.own, self.fresh, self.score = parent, name, own, fresh, None
+        self.near: str = name if name in BLOCK else parent.near if parent else ""
+
+
 class Block:
-    """A leaf block: its text pieces, characters within links, and (tag, attribute words) of its ancestors."""
+    """A leaf block: its text pieces, characters within links, and the innermost element it stands in."""
+
+    __slots__ = ("element", "linked", "pieces", "text")
+
+    def __init__(self, element: Element | None):
+        self.element, self.pieces, self.linked, self.text = element, [], 0, ""
+
+
+@lru_cache(maxsize=1 << 14)
+def _own(name: str, attributes: str) -> tuple[str, ...]:
+    """An element's own features: its tag if block-level, and the words of some attributes."""
+    words = {w: None for a in _ATTR.finditer(attributes) for w in _WORD.findall((a[2] or a[3] or a[4] or "").lower())}
+    return (*[f"word={w}" for w in words], *[f"in={name}"] * (name in BLOCK))
+
+
+class Stack:
+    """Open elements, with the places of each tag and of block-level ones, so that no search walks the stack."""
 
-    __slots__ = ("linked", "path", "pieces", "text")
+    def __init__(self):
+        self.items: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.features: dict[str, int] = {}
+        self.silent = 0
 
-    def __init__(self, path: list[tuple[str, tuple[str, ...]]]):
-        self.path, self.pieces, self.linked, self.text = list(path), [], 0, ""
+    def top(self) -> Element | None:
+        return self.items[-1] if self.items else None
+
+    def last(self, names) -> int:
+        """Place of the innermost element of one of the names, or -1."""
+        return max((p[-1] for n in names if (p := self.places.get(n))), default=-1)
+
+    def inner(self) -> int:
+        """Place of the innermost block-level element, or -1."""
+        return self.blocks[-1] if self.blocks else -1
+
+    def push(self, name: str, attributes: str) -> None:
+        own, held = _own(name, attributes) if len(attributes) < 256 else _own.__wrapped__(name, attributes), self.features
+        fresh = [f for f in own if not held.get(f)]
+        for f in own:
+            held[f] = held.get(f, 0) + 1
+        if name in BLOCK:
+            self.blocks.append(len(self.items))
+        self.silent += name in SILENT
+        self.places.setdefault(name, []).append(len(self.items))
+        self.items.append(Element(self.top(), name, own, fresh))
+
+    def drop(self, to: int) -> None:
+        while len(self.items) > to:
+            e = self.items.pop()
+            self.places[e.name].pop()
+            self.silent -= e.name in SILENT
+            if e.name in BLOCK:
+                self.blocks.pop()
+            for f in e.own:
+                self.features[f] -= 1
 
 
 def scan(page: str) -> list[Block]:
-    """Leaf blocks with text, in page order."""
+    """Leaf blocks with text, in page order; time and memory grow with the page's length."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack = Stack()
     block: Block | None = None
-    silent = links = 0
-    at, n = 0, len(page)
+    at, n, last = 0, len(page), page.rfind(">")
 
     def close(block: Block | None) -> None:
         if block is not None and (text := " ".join("".join(block.pieces).split())):
@@ -70,24 +132,17 @@ def scan(page: str) -> list[Block]:
 
     def write(raw: str) -> None:
         nonlocal block
-        if silent or not raw:
+        if not raw or stack.silent:
             return
         if block is None:
             if raw.isspace():
                 return
-            block = Block(stack)
+            block = Block(stack.top())
         text = html_lib.unescape(raw) if "&" in raw else raw
         block.pieces.append(text)
-        if links:
+        if stack.places.get("a"):
             block.linked += len(text)
 
-    def drop(to: int) -> None:
-        nonlocal silent, links
-        for name, _ in stack[to:]:
-            silent -= name in SILENT
-            links -= name == "a"
-        del stack[to:]
-
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -103,7 +158,7 @@ def scan(page: str) -> list[Block]:
             end = page.find(">", lt)
             at = n if end < 0 else end + 1
             continue
-        m = _TAG.match(page, lt) or _LOOSE.match(page, lt)
+        m = (_TAG.match(page, lt) or _LOOSE.match(page, lt)) if lt < last else None
         if m is None:
             letter = page[lt + 1 : lt + 3].lstrip("/")[:1]
             if letter.isascii() and letter.isalpha():  # a tag cut off by the end
@@ -115,8 +170,8 @@ def scan(page: str) -> list[Block]:
         write(page[at:lt])
         at = m.end()
         name = m[2].lower()
-        if not m[1] and name not in HEAD and stack and stack[-1][0] == "head":
-            drop(len(stack) - 1)
+        if not m[1] and name not in HEAD and stack.items and stack.items[-1].name == "head":
+            stack.drop(len(stack.items) - 1)
         if name == "br":
             write(" ")
             continue
@@ -124,51 +179,33 @@ def scan(page: str) -> list[Block]:
             close(block)
             block = None
         if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    drop(i)
-                    break
-                if name not in BLOCK and stack[i][0] in BLOCK:
-                    break
+            i = stack.last((name,))
+            if i >= 0 and (name in BLOCK or i > stack.inner()):
+                stack.drop(i)
             continue
         if name in VOID:
             continue
-        if name in BLOCK:  # an open paragraph ends here
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    drop(i)
-                    break
-                if stack[i][0] in BLOCK:
-                    break
+        if name in BLOCK and (i := stack.inner()) >= 0 and stack.items[i].name == "p":  # an open paragraph ends here
+            stack.drop(i)
         if name in _ENDS:
             shut, stop = _ENDS[name]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in shut:
-                    drop(i)
-                    break
-                if stack[i][0] in stop:
-                    break
+            if (i := stack.last(shut)) > stack.last(stop):
+                stack.drop(i)
         if name in RAW:
             end = re.compile(f"</{name}", re.I).search(page, at)
             if end is None:
                 break
             at = end.start()
-        words = tuple(w for a in _ATTR.finditer(m[3]) for w in _WORD.findall((a[2] or a[3] or a[4] or "").lower())) if m[3] else ()
-        stack.append((name, words))
-        silent += name in SILENT
-        links += name == "a"
+        stack.push(name, m[3])
     close(block)
     return out
 
 
-def features(blocks: list[Block]) -> list[list[str]]:
+def own_features(blocks: list[Block]) -> list[list[str]]:
+    """Features of each block that don't come from its ancestors."""
     out = []
     for i, b in enumerate(blocks):
-        f = ["bias"]
-        near = [t for t, _ in b.path if t in BLOCK]
-        f.append(f"own={near[-1] if near else ''}")
-        f += {f"in={t}" for t in near}
-        f += {f"word={w}" for _, words in b.path for w in words}
+        f = ["bias", f"own={b.element.near if b.element else ''}"]
         n, words = len(b.text), b.text.count(" ") + 1
         f.append(f"words={min(6, int(math.log2(words)))}")
         f.append(f"links={min(3, 4 * b.linked // max(n, 1))}")
@@ -180,6 +217,17 @@ def features(blocks: list[Block]) -> list[list[str]]:
     return out
 
 
+def features(blocks: list[Block]) -> list[list[str]]:
+    """All features of each block: its own, and the tags and words of its ancestors, each once."""
+    out = own_features(blocks)
+    for b, f in zip(blocks, out, strict=True):
+        e = b.element
+        while e is not None:
+            f += e.fresh
+            e = e.parent
+    return out
+
+
 class Field:
     """Linear-chain CRF with two labels: weights of (feature, label), of (label, label) and of the first label."""
 
@@ -188,16 +236,42 @@ class Field:
         self.unary = np.zeros((len(index), 2))
         self.pair = np.zeros((2, 2))
         self.first = np.zeros(2)
+        self.table: dict[str, tuple[float, float]] | None = None
 
     def encode(self, feats: list[list[str]]) -> list[list[int]]:
         get = self.index.get
         return [[i for x in f if (i := get(x)) is not None] for f in feats]
 
+    def score(self, blocks: list[Block]) -> list[list[float]]:
+        """Potentials of a page's blocks: what its ancestors add is summed once for each element."""
+        if self.table is None:
+            self.table = {f: tuple(self.unary[i].tolist()) for f, i in self.index.items()}
+        get, out = self.table.get, []
+
+        def more(a: float, b: float, names: list[str]) -> tuple[float, float]:
+            for f in names:
+                if (w := get(f)) is not None:
+                    a += w[0]
+                    b += w[1]
+            return a, b
+
+        for block, own in zip(blocks, own_features(blocks), strict=True):
+            path, e = [], block.element
+            while e is not None and e.score is None:
+                path.append(e)
+                e = e.parent
+            sums = e.score if e is not None else (0.0, 0.0)
+            for e in reversed(path):
+                sums = e.score = more(*sums, e.fresh) if e.fresh else sums
+            out.append(list(more(*sums, own)))
+        return out
+
     def potentials(self, rows: list[list[int]]) -> np.ndarray:
         return np.array([self.unary[r].sum(axis=0) for r in rows]).reshape(len(rows), 2)
 
     def fit(self, data: list[tuple[list[list[int]], list[int]]], epochs: int = 12, rate: float = 0.3, decay: float = 1e-4) -> None:
         """Stochastic gradient ascent (AdaGrad) on the log-likelihood, the gradient by forward-backward."""
+        self.table = None
         su, sp, sf = (np.full_like(x, 1e-6) for x in (self.unary, self.pair, self.first))
         for _ in range(epochs):
             for rows, labels in data:
@@ -231,10 +305,13 @@ class Field:
                     w += rate * d / np.sqrt(s)
 
     def decode(self, rows: list[list[int]]) -> list[int]:
-        """The most likely labels (Viterbi); ties go to label 0."""
-        if not rows:
+        """The most likely labels of rows of features."""
+        return self.best(self.potentials(rows).tolist())
+
+    def best(self, u: list[list[float]]) -> list[int]:
+        """The most likely labels for the potentials of consecutive blocks (Viterbi); ties go to label 0."""
+        if not u:
             return []
-        u = self.potentials(rows).tolist()
         (p00, p01), (p10, p11) = self.pair.tolist()
         a, b = u[0][0] + self.first[0], u[0][1] + self.first[1]
         back = []
@@ -443,7 +520,7 @@ def trained(pages: int = 700) -> Field:
 def main_text(page: str | None, field: Field) -> str:
     """Main-text blocks joined by one space; '' for a null page or one without any."""
     blocks = scan(page or "")
-    labels = field.decode(field.encode(features(blocks)))
+    labels = field.best(field.score(blocks))
     return " ".join([b.text for b, y in zip(blocks, labels, strict=True) if y])
 
 
