@@ -3,8 +3,10 @@
 Method: a text is cut where no piece can reach across (before each run of the space symbol).  Every cut piece of text
 is tokenised by backtracking: one Aho-Corasick pass finds all vocabulary matches; from the left the longest match is
 tried first, accepted only if it is compatible with the token before it, that is, if merging the two tokens' text
-anew gives exactly these two tokens; positions from which no continuation works are kept in a bitfield and never
-tried twice.  Characters that no piece holds become byte tokens.
+anew gives exactly these two tokens; positions from which no continuation works are kept in a field of flags and never
+tried twice.  So time and memory grow with the text, whether or not it has blanks.  Characters that no piece holds
+become byte tokens.  Pieces that begin with two space symbols or more are merged instead: such runs have equal scores,
+so the order of merging decides and adjacent tokens don't tell; so is a text for which backtracking finds no way.
 
 The result equals the library's for models with identity normalisation, no piece that holds the space symbol behind
 another character, no user-defined symbols and merge scores; `Codec` refuses any other model.
@@ -23,8 +25,8 @@ from pyspark.sql import DataFrame
 
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-#: Entries of a worker's memo of encoded chunks; it is emptied when full, so memory stays bounded.
-MEMO = 250_000
+#: Entries of a worker's memo of encoded words, about, and of pairs: bounds of its memory.
+MEMO = 500_000
 
 
 class Codec:
@@ -68,6 +70,7 @@ class Codec:
         self.pairs: dict[str, bool] = {}
         self.whole: dict[str, bool] = {}
         self.memo: dict[str, str] = {}
+        self.old: dict[str, str] = {}
 
     def merged(self, text: str) -> list[str]:
         """Tokens of text by merging: the best-scored adjacent pair first, the leftmost among equals."""
@@ -111,15 +114,18 @@ class Codec:
         """Tokens of one chunk by backtracking; a character that no piece holds stands for itself."""
         if text.startswith(SPACE * 2):  # runs of the space symbol have equal scores: order decides, so merge them
             return self.merged(text)
-        n, ids, pairs, longest, compatible, usable = len(text), self.ids, self.pairs, self.machine.longest_prefix, self.compatible, self.usable
-        failed = 0  # bit i: tokens that end at i lead nowhere
+        n, ids, pairs, compatible, usable = len(text), self.ids, self.pairs, self.compatible, self.usable
+        longest = [1] * n  # of the matches that begin at a place; they come by their ends, so the last is the longest
+        for end, size in self.machine.iter(text):
+            longest[end - size + 1] = size
+        failed = bytearray(n + 1)  # tokens that end here lead nowhere
         out: list[str] = []
         before, at = "", 0
-        length = longest(text)
+        length = longest[0]
         while True:
             while length > 0:
                 piece = text[at : at + length]
-                if (length == 1 or piece in ids) and not failed >> at + length & 1:
+                if (length == 1 or piece in ids) and not failed[at + length]:
                     if before:
                         ok = pairs.get(before + "\n" + piece)
                         if ok is None:
@@ -134,11 +140,11 @@ class Codec:
                 before, at = piece, at + length
                 if at == n:
                     return out
-                length = longest(text[at:]) or 1
+                length = longest[at]
             else:
                 if not out:
                     return self.merged(text)
-                failed |= 1 << at
+                failed[at] = 1
                 length = len(out.pop())
                 at -= length
                 length -= 1
@@ -197,15 +203,21 @@ class Codec:
             yield utf8(bytes(run))
 
     def known(self, words: set[str]) -> None:
-        """Put words, each with a space before it, into the memo; a word that doesn't decode to itself stays out."""
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
+        """Put words, each with a space before it, into the memo; long ones and those that don't decode to themselves stay out.
+
+        The memo has two generations: what is used again stays.
+        """
+        if len(self.memo) > MEMO // 2:
+            self.memo, self.old = {}, self.memo
+        memo, old = self.memo, self.old
         for w in words:
-            if w in memo:
+            if w in memo or len(w) >= 64:
+                continue
+            if (found := old.get(w)) is not None:
+                memo[w] = found
                 continue
             ids = self.encode_chunk(SPACE + w)
-            if len(w) < 64 and "".join(self.decode_raw(ids)) == SPACE + w:
+            if "".join(self.decode_raw(ids)) == SPACE + w:
                 memo[w] = " ".join(map(str, ids))
 
     def document(self, text: str | None) -> tuple[str, int, str]:
