@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktel.llm import decontamination, language_id, line_dedup, ngram_join, sentencepiece_codec
-from sparktel.llm.common import fits_broadcast, row_key, table, work_dir, written
+from sparktel.llm.common import fits_broadcast, remove, row_key, table, work_dir, written
 from sparktel.llm.queries import tokenizer
 from sparktel.session import ship
 
@@ -46,7 +46,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = docs.withColumn("_key", _key(docs))
-    groups = written(spark, ngram_join.link_components(keyed, key="_key"), "groups")
+    groups = ngram_join.link_components(keyed, key="_key")  # a written table
     out = _without(keyed, groups.where(F.col("_key") != F.col("component_id")))
     if not groups.groupBy("_key").count().where("count > 1").isEmpty():
         out = out.dropDuplicates(["_key"])
@@ -77,11 +77,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each stage's result a written table that the next one reads."""
+    """All stages over documents, each stage's result a written table that the next one reads and that goes when it is done.
+
+    The last stage's input stays, as its result is computed from it when it is asked for.
+    """
     ship(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = work_dir(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
