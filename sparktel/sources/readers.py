@@ -92,26 +92,35 @@ def read_traces(spark: SparkSession, path: str, customer_id: str, flat: bool = T
     return flatten_attributes(df) if flat else df
 
 
-def decode_content(df: DataFrame, signal: str) -> DataFrame:
-    """Rows of (path, content), as the binaryFile source gives them, decoded; also for streams.  `file` is a hash of the path."""
+def decode_content(df: DataFrame, signal: str, metadata: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """Rows of (path, content), as the binaryFile source gives them, decoded; also for streams.  `file` is a hash of the path.
+
+    metadata: of log files, by path, with or without its scheme, or by name.
+    """
     ship(df.sparkSession)
     schema_text, rows_of = SIGNALS[signal]
     schema = to_arrow_schema(StructType.fromDDL(schema_text))
 
+    def own(path: str) -> tuple[tuple[str, str], ...]:
+        names = (path, path.removeprefix("file:").replace("///", "/"), path.rpartition("/")[2])
+        return tuple(next((metadata[n] for n in names if n in metadata), {}).items())
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for r in part.to_pylist():
-                yield from batches(rows_of(decode.inflate(r["path"], r["content"]), r["file"]), schema)
+                more = (own(r["path"]),) if signal == "logs" and metadata else ()
+                yield from batches(rows_of(decode.inflate(r["path"], r["content"]), r["file"], *more), schema)
 
     return df.select(F.hash("path").alias("file"), "path", "content").mapInArrow(run, schema_text)
 
 
-def stream(spark: SparkSession, signal: str, folder: str, customer_id: str, glob: str = "*", files_per_trigger: int | None = None) -> DataFrame:
-    """Canonical rows (attributes as maps) of files as they arrive in a folder; log fingerprints are of the message alone."""
+def stream(spark: SparkSession, signal: str, folder: str, customer_id: str, glob: str = "*", files_per_trigger: int | None = None, metadata: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """Canonical rows (attributes as maps) of files as they arrive in a folder; log fingerprints are of the message alone,
+    clusters of them are `windows.cluster_stream`'s.  metadata: of log files, by path or name."""
     reader = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", glob)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    rows = decode_content(reader.load(folder), signal)
+    rows = decode_content(reader.load(folder), signal, metadata)
     if signal == "metrics":
         return enrich.metrics(rows, customer_id)
     return enrich.spans(rows, customer_id) if signal == "traces" else enrich.logs(rows, customer_id, mode="exact")

@@ -170,7 +170,7 @@ def test_streams(spark, folder, tmp_path):
     q = windows.metric_windows(m).writeStream.format("memory").queryName("w").outputMode("complete").option("checkpointLocation", str(tmp_path / "a")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("w").agg(F.sum("cnt")).first()[0] == 5
-    logs = R.stream(spark, "logs", str(folder), "c", glob="l*").select("chq_fingerprint").writeStream.format("memory").queryName("lg").option("checkpointLocation", str(tmp_path / "b")).trigger(availableNow=True).start()
+    logs = R.stream(spark, "logs", str(folder), "c", glob="l*", metadata={"l.binpb": {"bucket": "b"}}).where("file_meta['bucket'] = 'b'").select("chq_fingerprint").writeStream.format("memory").queryName("lg").option("checkpointLocation", str(tmp_path / "b")).trigger(availableNow=True).start()
     logs.awaitTermination(120)
     assert spark.table("lg").count() == 3
 
