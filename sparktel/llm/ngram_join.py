@@ -1,39 +1,53 @@
 """Near-duplicate join on word n-gram sets: prefix filtering in rare-first order, verified once per pair.
 
-1. Texts with equal shingle sets are one class; everything below is about classes, so copies cost no pairs.
-2. A frequency sketch of fixed size (2**sketch_bits counters over all texts) gives the order of shingles: rare first,
-   ties by hash.  Any order that all texts share is exact; this one keeps frequent shingles out of the prefixes.
-3. A class of n shingles sends its first n - ceil(t n) + 1; two classes that link share one of these.  Shingles that
-   only one class sends are dropped by an aggregate before anything is paired.
-4. Candidates pass the length filter, the positional filter at their first common prefix shingle, and the suffix
-   filter: sets differ in at least as many shingles as the parities of their counts over 1024 parts of the hash space.
-5. Components, not all pairs, are asked for.  So `rounds` times each shingle's holders are only paired with one
-   pivot among them, and the verified links are closed to components; then the pairs that share a prefix shingle but
-   lie in different components are verified, all of them.  The first pivot is the holder with the fewest rarer
-   shingles: of edited copies, the one with the fewest edits, which links with most of the others.  Pairs within a component are never made, yet no link between
-   components is missed.
+1. Texts with equal shingle sets are one class; everything below is about one text of each class, so copies cost no
+   pairs.  The same scan counts texts by hashed shingle in a sketch of fixed size (2**sketch_bits counters, all texts).
+2. The sketch gives an order of shingles: rare first, ties by hash.  In a large corpus its counters tell only the most
+   frequent shingles, so the prefixes that it gives are counted exactly, and the shingles of over `LEAST_HOLDERS`
+   prefixes are moved behind all others (a table of fixed size, so others that share a slot go with them).  Any order
+   that all texts share is exact; this one keeps frequent shingles out of the prefixes at every size.
+3. A class of n shingles sends its first n - ceil(t n) + 1, once; two classes that link share one of these.  Where the
+   shingles meet, those that one class alone sends are dropped, and those at which no pair could pass the positional
+   filter.  Shingles whose counter stands far above the mean meet in several parts and are all kept.
+4. Two classes meet at a shingle if they pass the length filter (classes of other sizes than a ratio of t aren't even
+   compared: sizes are cut into steps of that ratio) and the positional filter there: at their first common shingle the
+   rest of both sets must be large enough, so links survive although most common shingles of a pair fail.
+5. Candidates pass the suffix filter: sets differ in at least as many shingles as the parities of their counts over
+   parts of the hash space, two to four parts a shingle, so that few pairs pass that don't link.  The sets of those
+   are then compared once a pair.
+6. Components, not all pairs, are asked for.  So first each class only meets pivots, at two of its shingles, the
+   rarest and the one with the most holders, and the verified links are closed to components; then the holders of any
+   shingle that are in different components meet.  The pivots are each step's holder with the fewest rarer shingles:
+   of edited copies, the one with the fewest edits, which links with most of the others.  Pairs within a component are
+   never made, yet no link between components is missed.
 
 A link means 100 * |A and B| >= percent * |A or B| over exact word shingles, told apart by a 64-bit hash.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparktel.llm import texthash as th
-from sparktel.llm.common import fits_broadcast, written
+from sparktel.llm.common import Workspace, fits_broadcast, release, row_key, shuffle_partitions, written
 
-#: 64-bit words of the suffix filter's parities.
-PARITY_WORDS = 16
+#: Holders above which a shingle is moved behind; how many of those are known by the last order at most, the most frequent ones, and bits of a slot of theirs.
+LEAST_HOLDERS, MOST_FREQUENT, FREQUENT_BITS = 16, 1 << 18, 22
+#: Parts of the hash space for the smallest sets of the suffix filter, a power of two; and of those counted at once.
+LEAST_PARITIES, PARITIES = 256, 1 << 22
+#: A shingle is spread over so many parts where it meets others if its counter is above `HOT` times the mean.
+PARTS, HOT, HOT_LEAST = 32, 8, 4096
 
 
-def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each block of texts: first row, row of each distinct shingle, its hash; by row and hash.
+def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """For each block of texts: first row, end, row of each distinct shingle, its hash; by row, then in an order of the hashes.
 
     A text of fewer than n words has its whole word sequence as the only shingle; one without words has none.
     """
@@ -46,13 +60,22 @@ def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np
             if (short := np.flatnonzero(w.count == m)).size:
                 row = np.concatenate([row, short])
                 hashes = np.concatenate([hashes, w.grams(m)[w.first[short]]])
-        order = np.lexsort((hashes, row))
+        order = _by_row(row, hashes, hi - lo)
         row, hashes = row[order], hashes[order]
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
         yield lo, hi, row[new], hashes[new]
 
 
+def _by_row(row: np.ndarray, hashes: np.ndarray, rows: int) -> np.ndarray:
+    """Order by row and hash; by one sort of 64 bits, unless the bits of the hash that fit beside the row can't part two."""
+    bits = np.uint64(max(1, rows - 1).bit_length())
+    key = row.astype(np.uint64) << (np.uint64(64) - bits) | hashes >> bits
+    order = np.argsort(key)
+    key, got = key[order], hashes[order]
+    return np.lexsort((hashes, row)) if ((key[1:] == key[:-1]) & (got[1:] != got[:-1])).any() else order
+
+
 def _per_row(hi: int, lo: int, row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Edges of each row's set, its size and its class: a 64-bit hash of the set (0 if empty)."""
     edge = np.searchsorted(row, np.arange(hi - lo + 1))
@@ -65,79 +88,116 @@ def _per_row(hi: int, lo: int, row: np.ndarray, hashes: np.ndarray) -> tuple[np.
     return edge, size, np.where(size > 0, cls, np.uint64(0))
 
 
-def _classes(docs: DataFrame, kind: str, n: int) -> DataFrame:
-    """docs(key, text) to (key, cls, size, parts)."""
+def _parities(edge: np.ndarray, size: np.ndarray, row: np.ndarray, hashes: np.ndarray) -> pa.Array:
+    """For each row the parities of its shingles' counts over parts of the hash space, as 64-bit words: a power of two of them.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, row, hashes in shingle_sets(batch.column(1), n):
-                _, size, cls = _per_row(hi, lo, row, hashes)
-                bits = np.zeros((hi - lo) * PARITY_WORDS * 64, np.uint8)
-                np.bitwise_xor.at(bits, row * PARITY_WORDS * 64 + (hashes >> np.uint64(20)).astype(np.int64) % (PARITY_WORDS * 64), 1)
-                words = np.packbits(bits).view(np.int64)
-                parts = pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, PARITY_WORDS, dtype=np.int32)), pa.array(words))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(th.signed(cls)), pa.array(size.astype(np.int32)), parts], ["key", "cls", "size", "parts"])
+    The upper half of the words folds onto the lower half, which gives the parities over half as many parts.
+    """
+    parts = np.maximum(LEAST_PARITIES, 1 << np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64))
+    starts, words, a = np.concatenate([[0], np.cumsum(parts)]), [], 0
+    while a < len(size):
+        b = max(a + 1, int(np.searchsorted(starts, starts[a] + PARITIES, side="right")) - 1)
+        at = slice(edge[a], edge[b])
+        bits = np.bincount(starts[row[at]] - starts[a] + ((hashes[at] >> np.uint64(20)).astype(np.int64) & (parts[row[at]] - 1)), minlength=starts[b] - starts[a])
+        words.append(np.packbits(bits.astype(np.uint8) & 1).view(np.int64))
+        a = b
+    flat = np.concatenate(words) if words else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array((starts // 64).astype(np.int32)), pa.array(flat))
 
-    return docs.select("key", "text").mapInArrow(run, f"key {kind}, cls bigint, size int, parts array<bigint>")
 
+def _differ(a: Column, b: Column) -> Column:
+    """In how many shingles two sets differ at least, by their parities; the longer ones are folded."""
+    half = lambda x: F.zip_with(F.slice(x, F.lit(1), (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, (F.size(x) / 2).cast("int")), lambda u, v: u.bitwiseXOR(v))
+    x, y = F.when(F.size(a) > F.size(b), half(a)).otherwise(a), F.when(F.size(b) > F.size(a), half(b)).otherwise(b)
+    return F.aggregate(F.zip_with(x, y, lambda u, v: F.coalesce(F.bit_count(u.bitwiseXOR(v)), F.lit(0))), F.lit(0), lambda t, u: t + u)
 
-def frequency_sketch(docs: DataFrame, n: int, bits: int) -> np.ndarray:
-    """Texts by hashed shingle: 2**bits counters over all texts, summed on the executors, read as base-2 logarithms."""
+
+def _scan(src: DataFrame, kind: str, n: int, bits: int) -> DataFrame:
+    """src(key, rid, text) to (key, rid, cls, size, parts), and with them a task's counts of the sketch (slot, n) in rows of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "rid", "cls", "size", "parts", "slot", "n"]
         counts = np.zeros(1 << bits, np.int64)
+        none = kinds = None
         for batch in batches:
-            for _, _, _, hashes in shingle_sets(batch.column(0), n):
+            kinds = [batch.column(0).type, pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.int64()]
+            for lo, hi, row, hashes in shingle_sets(batch.column(2), n):
+                edge, size, cls = _per_row(hi, lo, row, hashes)
                 counts += np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+                none = [pa.nulls(hi - lo, k) for k in kinds]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(th.signed(cls)), pa.array(size.astype(np.int32)), _parities(edge, size, row, hashes), *none[5:]], names)
         at = np.flatnonzero(counts).astype(np.int32)
         for i in range(0, len(at), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + (1 << 16)]), pa.array(counts[at[i : i + (1 << 16)]])], ["slot", "n"])
+            part = at[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(part), k) for k in kinds[:5]], pa.array(part), pa.array(counts[part])], names)
 
-    table = docs.select("text").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << bits, np.uint8)
-    out[table["slot"].to_numpy()] = np.log2(table["n"].to_numpy()).astype(np.uint8) + 1
-    return out
+    return src.select("key", "rid", "text").mapInArrow(run, f"key {kind}, rid bigint, cls bigint, size int, parts array<bigint>, slot int, n bigint")
+
+
+def _ranks(counts: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each counter of the sketch: its base-2 logarithm (0 for none), and whether its shingles are spread."""
+    n = np.zeros(1 << bits, np.int64)
+    n[counts["slot"].to_numpy()] = counts["n"].to_numpy()
+    return (np.log2(np.maximum(n, 0.5)) + 1).astype(np.uint8), n > max(HOT_LEAST, HOT * n.mean())
 
 
 def _postings(docs: DataFrame, n: int, percent: int, bits: int, sketch) -> DataFrame:
-    """docs(text) to (token, cls, size, pos): the prefix of each text's set in rare-first order."""
+    """docs(text) to (token, part, cls, size, pos): the prefix of each text's set in rare-first order; part 0 unless spread."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = sketch.value
+        rank, hot, late = sketch.value
         for batch in batches:
             for lo, hi, row, hashes in shingle_sets(batch.column(0), n):
                 edge, size, cls = _per_row(hi, lo, row, hashes)
-                order = np.lexsort((hashes, rank[(hashes >> np.uint64(64 - bits)).astype(np.int64)], row))
+                slot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+                turn = rank[slot]
+                if late is not None:
+                    turn = np.maximum(turn, late[(hashes >> np.uint64(64 - FREQUENT_BITS)).astype(np.int64)])
+                order = _by_row(row, turn.astype(np.uint64) << np.uint64(57) | hashes >> np.uint64(7), hi - lo)
                 pos = np.arange(len(row)) - edge[row]
                 send = pos <= (size - (percent * size + 99) // 100)[row]
-                row, pos = row[send], pos[send]
-                yield pa.RecordBatch.from_arrays([pa.array(th.signed(hashes[order][send])), pa.array(th.signed(cls[row])), pa.array(size[row].astype(np.int32)), pa.array(pos.astype(np.int32))], ["token", "cls", "size", "pos"])
-
-    return docs.select("text").mapInArrow(run, "token bigint, cls bigint, size int, pos int")
+                row, pos, order = row[send], pos[send], order[send]
+                spread = np.where(hot[slot[order]], (cls[row] % np.uint64(PARTS)).astype(np.int32) + 1, 0)
+                yield pa.RecordBatch.from_arrays([pa.array(th.signed(hashes[order])), pa.array(spread.astype(np.int32)), pa.array(th.signed(cls[row])), pa.array(size[row].astype(np.int32)), pa.array(pos.astype(np.int32))], ["token", "part", "cls", "size", "pos"])
+
+    return docs.select("text").mapInArrow(run, "token bigint, part int, cls bigint, size int, pos int")
+
+
+def _late(space: Workspace, prefixes: DataFrame) -> np.ndarray:
+    """By slot: 64 and the base-2 logarithm of the holders of the most frequent shingle in it; 0 without a frequent one."""
+    held = prefixes.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > LEAST_HOLDERS)
+    held = space.written(held.select("token", F.floor(F.log2("n")).cast("int").alias("level")), "frequent")
+    levels = sorted((tuple(r) for r in held.groupBy("level").count().collect()), reverse=True)  # 64 rows at most
+    known, least = 0, 64
+    for level, n in levels:
+        if known + n > MOST_FREQUENT:
+            break
+        known, least = known + n, level
+    got = held.where(F.col("level") >= least).toArrow()
+    out = np.zeros(1 << FREQUENT_BITS, np.uint8)
+    np.maximum.at(out, (got["token"].to_numpy().view(np.uint64) >> np.uint64(64 - FREQUENT_BITS)).astype(np.int64), 64 + got["level"].to_numpy().astype(np.uint8))
+    return out
 
 
-def _verified(pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """pairs(a, b, ta, tb) to (a, b, linked)."""
+def _sets(texts: DataFrame, n: int) -> DataFrame:
+    """texts(cls, text) to (cls, tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets: list[list[np.ndarray]] = [[], []]
-            for side in (0, 1):
-                for lo, hi, row, hashes in shingle_sets(batch.column(2 + side), n):
-                    sets[side] += np.split(hashes, np.searchsorted(row, np.arange(1, hi - lo)))
-            linked = []
-            for x, y in zip(*sets, strict=True):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+            for lo, hi, row, hashes in shingle_sets(batch.column(1), n):
+                edge = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(edge), pa.array(th.signed(hashes)))], ["cls", "tokens"])
 
-    return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint, linked boolean")
+    return texts.select("cls", "text").mapInArrow(run, "cls bigint, tokens array<bigint>")
 
 
-def components(spark, edges: DataFrame, name: str = "labels") -> DataFrame:
+def components(spark: SparkSession, edges: DataFrame, name: str = "labels", space: Workspace | None = None) -> DataFrame:
     """(a, b) edges to (node, label): the least node reachable.  Stars towards the least neighbour, alternating larger
-    and smaller neighbours, until nothing moves; every round is a written table."""
-    edges = written(spark, edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name)
+    and smaller neighbours, until nothing moves; every round is a written table, of the workspace if one is given."""
+    write = space.written if space else partial(written, spark)
+    mark = lambda df: df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()  # noqa: E731  of a set of edges
+    edges = write(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name)
+    before = mark(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -146,101 +206,115 @@ def components(spark, edges: DataFrame, name: str = "labels") -> DataFrame:
         # then each node and its smaller neighbours to the least of them
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b").select("m", F.col("a").alias("x")).where("m < x").union(low.select("m", F.col("b").alias("x"))).distinct().toDF("a", "b")
-        small = written(spark, small, name)
-        same = edges.count() == small.count() and edges.join(small, ["a", "b"], "left_anti").isEmpty()
-        edges = small
-        if same:
+        edges = write(small, name)
+        now = mark(edges)
+        if now == before:
             return edges.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())
+        before = now
 
 
-def link_components(docs: DataFrame, key: str = "doc_id", body: str = "text", n: int = 5, percent: int = 75, rounds: int = 2, sketch_bits: int = 18, broadcast_bytes: int = 32 << 20) -> DataFrame:
+def link_components(docs: DataFrame, key: str = "doc_id", body: str = "text", n: int = 5, percent: int = 75, rounds: int = 1, sketch_bits: int = 18, broadcast_bytes: int = 8 << 20) -> DataFrame:
     """Per row: key, n_shingles, component_id (smallest key reachable by links, its own included).
 
     A null text or one without words has the empty set: n_shingles 0, linked with nothing, its own component.  A null
     key counts as no key: its component_id is the smallest other key reachable, else null.  Repeated rows are one class.
-    An empty table gives an empty one; no other column is read.
+    An empty table gives an empty one; no other column is read.  The result is a written table.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent is from 1 to 100")
     spark, kind = docs.sparkSession, docs.schema[key].dataType.simpleString()
+    with Workspace(spark, "ngram-join") as space:
+        out = _link(space, docs, key, body, kind, n, percent, rounds, sketch_bits, broadcast_bytes)
+        return space.kept(out.select(F.col("key").alias(key), "n_shingles", "component_id"))
+
+
+def _link(space: Workspace, docs: DataFrame, key: str, body: str, kind: str, n: int, percent: int, rounds: int, bits: int, broadcast_bytes: int) -> DataFrame:
+    spark = space.spark
+    small = lambda df, row_bytes: F.broadcast(df) if fits_broadcast(df, row_bytes, broadcast_bytes) else df
     src = docs.select(docs[key].alias("key"), F.coalesce(docs[body].cast("string"), F.lit("")).alias("text"))
-    known = written(spark, _classes(src, kind, n), "classes")
-    sketch = spark.sparkContext.broadcast(frequency_sketch(src, n, sketch_bits))
-    # Of equal sets only the rows with the smallest key send postings; a key that is the smallest of any set stays.
-    firsts = known.where("size > 0").groupBy("cls").agg(F.min("key").alias("least"))
-    copies = written(spark, known.where("key is not null").join(firsts, "cls").where("key != least").select("key").distinct().join(firsts.select(F.col("least").alias("key")), "key", "left_anti"), "copies")
-    once = src.join(F.broadcast(copies) if fits_broadcast(copies, 16, broadcast_bytes) else copies, "key", "left_anti")
-    postings = _postings(once, n, percent, sketch_bits, sketch)
-    shared = postings.groupBy("token").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x < y").select("token")
-    live = written(spark, postings.join(shared.hint("merge"), "token", "left_semi").dropDuplicates(["token", "cls"]), "postings")
-
-    # One text of each class that has a live shingle.
-    needed = live.select("cls").distinct()
-    size = known.where("size > 0").groupBy("cls").agg(F.first("parts").alias("parts"), F.min_by("key", F.xxhash64("key")).alias("key"))
-    chosen = size.join(needed.hint("merge"), "cls", "left_semi").select("cls", "key")
-    own = chosen.where("key is not null")
-    if fits_broadcast(own, 16, broadcast_bytes):
-        own = F.broadcast(own)
-    texts = _with_class(src.join(own.select("key"), "key", "left_semi"), kind, n).join(own, ["cls", "key"], "left_semi").select("cls", "text")
-    texts = texts.unionByName(_with_class(src.where("key is null"), kind, n).join(chosen.where("key is null"), "cls", "left_semi").select("cls", "text"))
-    texts = written(spark, texts, "texts")
-    parts = size.select("cls", "parts")
-
-    limit = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
+    src = src.withColumn("rid", row_key(src, "key", "text"))
+    scanned = space.written(_scan(src, kind, n, bits), "scan")
+    known = scanned.where("slot is null").drop("slot", "n")
+    counts = scanned.where("slot is not null").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # 2**bits rows at most
+    ranks = _ranks(counts, bits)
+    # One text stands for each class.  Equal rows share rid.
+    classes = space.written(known.where("size > 0").groupBy("cls").agg(F.min("rid").alias("rid"), F.min("key").alias("least"), F.first("size").alias("size"), F.first("parts").alias("parts")), "classes")
+    copies = known.where("size > 0").select("cls", F.col("rid").alias("r")).join(classes.select("cls", "rid"), "cls").where("r != rid").select(F.col("r").alias("rid")).distinct()
+    copies = space.written(copies, "copies")
+    once = src.join(small(copies, 16), "rid", "left_anti")
+
+    most = F.col("size") - F.ceil(F.lit(2 * percent) * F.col("size") / (100 + percent))  # last place at which a smaller set can pass the positional filter
+    # One exchange: where a shingle's holders meet, they are counted, then those of equal rows become one.
+    meet = Window.partitionBy("token", "part")
+    first = spark.sparkContext.broadcast((*ranks, None))
+    sketch = spark.sparkContext.broadcast((*ranks, _late(space, _postings(once, n, percent, bits, first))))
+    release(spark)
+    met = _postings(once, n, percent, bits, sketch).repartition(shuffle_partitions(spark), "token", "part")
+    met = met.withColumns({"holders": F.count("*").over(meet), "least": F.min(F.col("pos") - most).over(meet)}).where("part > 0 or (holders > 1 and least <= 0)")
+    live = met.groupBy("token", "part", "cls").agg(F.min("size").alias("size"), F.min("pos").alias("pos"), (F.max("holders") * F.when(F.col("part") > 0, PARTS).otherwise(1)).alias("holders"))
+    step = F.floor(F.log(F.col("size").cast("double")) / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("size")
+    live = space.written(live.select("token", "cls", "size", "pos", "holders", step.cast("int").alias("step")), "postings")
+
+    a, b = ({c: F.col(c).alias(f"{s}{c}") for c in ("cls", "size", "pos", "comp")} for s in "ab")
+    limit = F.ceil(F.lit(percent) * (F.col("asize") + F.col("bsize")) / (100 + percent))
+    passes = (F.col("acomp") != F.col("bcomp")) & (percent * F.greatest("asize", "bsize") <= 100 * F.least("asize", "bsize")) & (F.least(F.col("asize") - F.col("apos"), F.col("bsize") - F.col("bpos")) >= limit)
 
     def check(rows: DataFrame, done: DataFrame | None) -> DataFrame:
-        """rows(a, na, pa, b, nb, pb): candidates, one for each common prefix shingle, to written (a, b, linked)."""
-        rows = rows.where((percent * F.greatest("na", "nb") <= 100 * F.least("na", "nb")) & (F.col("a") != F.col("b")))
-        swap = F.col("a") > F.col("b")
-        side = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
-        rows = rows.select(side("a", "b").alias("a"), side("b", "a").alias("b"), side("na", "nb").alias("na"), side("nb", "na").alias("nb"), side("pa", "pb").alias("pa"), side("pb", "pa").alias("pb"))
-        pairs = rows.groupBy("a", "b", "na", "nb").agg(F.min(F.struct("pa", "pb")).alias("p"))
-        pairs = pairs.where(F.least(F.col("na") - F.col("p.pa"), F.col("nb") - F.col("p.pb")) >= limit).drop("p")
+        """Candidates, one for each common shingle that they pass at, to written (a, b, linked)."""
+        swap = F.col("acls") > F.col("bcls")
+        rows = rows.select(F.least("acls", "bcls").alias("a"), F.greatest("acls", "bcls").alias("b"), F.when(swap, F.col("bsize")).otherwise(F.col("asize")).alias("asize"), F.when(swap, F.col("asize")).otherwise(F.col("bsize")).alias("bsize"))
+        pairs = rows.distinct()
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = space.written(pairs, "candidates")
         for s in "ab":
-            pairs = pairs.join(parts.select(F.col("cls").alias(s), F.col("parts").alias(f"parts_{s}")), s)
-        differ = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-        pairs = written(spark, pairs.where(F.col("na") + F.col("nb") - differ >= 2 * limit).select("a", "b"), "pairs")
-        # Only texts of pairs travel; the pairs go to them if they are few, which is counted first.
-        few = fits_broadcast(pairs, 24, broadcast_bytes)
+            pairs = pairs.join(classes.select(F.col("cls").alias(s), F.col("rid").alias(f"{s}rid"), F.col("parts").alias(f"{s}parts")), s)
+        pairs = space.written(pairs.where(F.col("asize") + F.col("bsize") - _differ(F.col("aparts"), F.col("bparts")) >= 2 * limit).select("a", "b", "asize", "bsize", "arid", "brid"), "pairs")
+        # Only the sets of pairs travel, each made once from the one text that stands for its class.
+        wanted = pairs.select(F.col("a").alias("cls"), F.col("arid").alias("rid")).union(pairs.select("b", "brid")).distinct()
+        wanted = space.written(wanted, "wanted")
+        old = reduce(DataFrame.unionByName, made).join(small(wanted.select("cls"), 16), "cls", "left_semi") if made else None
+        new = wanted if old is None else wanted.join(old.select("cls").distinct(), "cls", "left_anti")
+        made.append(space.written(_sets(src.join(small(new, 24), "rid").select("cls", "text"), n), "sets"))
+        sets = (made[-1] if old is None else old.unionByName(made[-1])).dropDuplicates(["cls"])  # equal rows share rid
         for s in "ab":
-            ids = pairs.select(F.col(s).alias("cls")).distinct()
-            of = texts.join(F.broadcast(ids) if few else ids, "cls", "left_semi").select(F.col("cls").alias(s), F.col("text").alias(f"t{s}"))
-            rows = of.join(F.broadcast(pairs), s) if few and s == "a" else (pairs if s == "a" else rows).join(of, s)
-        return written(spark, _verified(rows, n, percent).distinct(), "verified")
+            pairs = pairs.join(sets.select(F.col("cls").alias(s), F.col("tokens").alias(f"{s}tokens")), s)
+        pairs, both = pairs.withColumn("both", F.size(F.array_intersect("atokens", "btokens"))), F.col("both")
+        return space.written(pairs.select("a", "b", (100 * both >= percent * (F.col("asize") + F.col("bsize") - both)).alias("linked")), "verified")
 
-    holder = F.struct(F.col("cls").alias("b"), F.col("size").alias("nb"), F.col("pos").alias("pb"), "comp")
-    done, labels = None, None
+    made: list[DataFrame] = []
+    done = labels = None
     for r in range(rounds + 1):
-        held = live.withColumn("comp", F.col("cls")) if labels is None else live.join(labels.select(F.col("node").alias("cls"), F.col("label").alias("l")), "cls", "left").withColumn("comp", F.coalesce("l", "cls")).drop("l")
-        one = held.select("token", F.col("cls").alias("a"), F.col("size").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
-        mixed = held.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min_by(holder, F.struct(F.col("pos") if r == 0 else F.lit(0), F.xxhash64("cls", F.lit(r)))).alias("h")).where("x < y")
+        held = live.withColumn("comp", F.col("cls"))
+        if labels is not None:
+            held = live.join(labels.select(F.col("node").alias("cls"), F.col("label").alias("comp")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+            mixed = held.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("token")
+            held = space.written(held.join(mixed, "token", "left_semi"), "held")
+        one = held.select("token", "step", *a.values())
         if r < rounds:
-            rows = one.join(mixed.select("token", "h.*"), "token").where("ca != comp")
+            # Two shingles a class, and the pivots of each: as many candidates as classes, whatever the groups' sizes.
+            place = F.struct("token", "step", *a.values())
+            chosen = held.select("cls", "holders", "pos", place.alias("at")).groupBy("cls").agg(F.min_by("at", F.struct("pos", "at.token")).alias("x"), F.max_by("at", F.struct("holders", "at.token")).alias("y"))
+            chosen = space.written(chosen.select(F.explode(F.array("x", "y")).alias("at")).select("at.*").distinct(), "chosen")
+            tokens = chosen.select("token").distinct()
+            pivot = held.join(tokens, "token", "left_semi").groupBy("token", "step").agg(F.min(F.struct(F.col("pos") if r == 0 else F.lit(0).alias("pos"), F.xxhash64("cls", F.lit(r)).alias("x"), F.struct("cls", "size", F.col("pos").alias("at"), "comp").alias("h"))).alias("m"))
+            pivot = pivot.select("token", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step"), F.col("m.h.cls").alias("bcls"), F.col("m.h.size").alias("bsize"), F.col("m.h.at").alias("bpos"), F.col("m.h.comp").alias("bcomp"))
+            rows = chosen.join(pivot, ["token", "step"]).where(passes)
         else:
-            open_ = held.join(mixed.select("token"), "token", "left_semi").select("token", F.col("cls").alias("b"), F.col("size").alias("nb"), F.col("pos").alias("pb"), "comp")
-            rows = one.join(open_, "token").where("ca < comp")
+            # The smaller set of a pair, ties by class, meets larger ones of its own step and the next.
+            less = one.where(F.col("apos") <= F.col("asize") - F.ceil(F.lit(2 * percent) * F.col("asize") / (100 + percent))).withColumn("step", F.explode(F.array("step", F.col("step") + 1)))
+            more = held.select("token", "step", *b.values())
+            rows = less.join(more, ["token", "step"]).where(passes & ((F.col("asize") < F.col("bsize")) | ((F.col("asize") == F.col("bsize")) & (F.col("acls") < F.col("bcls")))))
         found = check(rows, done)
         done = found if done is None else done.unionByName(found)
-        labels = components(spark, done.where("linked").select("a", "b"))
+        new = found.where("linked").select("a", "b")
+        linked = new if labels is None else labels.select(F.col("label").alias("a"), F.col("node").alias("b")).where("a < b").unionByName(new)
+        labels = components(spark, linked, space=space)
 
-    groups = firsts.join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    groups = classes.select("cls", "least").join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     ids = groups.join(groups.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("cls", "component_id")
-    out = known.join(ids, "cls", "left")
-    return out.select(F.col("key").alias(key), F.col("size").cast("long").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
-
-
-def _with_class(src: DataFrame, kind: str, n: int) -> DataFrame:
-    """src(key, text) to (key, text, cls)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, row, hashes in shingle_sets(batch.column(1), n):
-                _, _, cls = _per_row(hi, lo, row, hashes)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(th.signed(cls))], ["key", "text", "cls"])
-
-    return src.select("key", "text").mapInArrow(run, f"key {kind}, text string, cls bigint")
+    out = known.select("key", "cls", "size").join(ids, "cls", "left")
+    return out.select("key", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
 
 
 ORACLE = r"""
