@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktel.llm import texthash as th
-from sparktel.llm.common import Workspace, remove, row_key, shuffle_partitions, work_dir
+from sparktel.llm.common import Workspace, release, remove, row_key, shuffle_partitions, work_dir
 
 
 class RunIndex:
@@ -245,6 +245,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", body: str = "text", n:
                 index.append(_fingerprints(src.where(F.pmod("rid", F.lit(batches)) == b), n, k, False))
             found = _fingerprints(src, n, k, True).join(index.repeated().hint("merge"), "hash")
             found = space.written(found, "occurrences")
+            release(spark)
         finally:
             index.drop()
         return space.kept(_removed(space, src, found, docs.schema[key].dataType.simpleString(), n, k, with_text).withColumnRenamed("key", key))
@@ -259,10 +260,12 @@ def _removed(space: Workspace, src: DataFrame, found: DataFrame, kind: str, n: i
     state = found.select("rid", "context").join(state.hint("merge"), "context")
     per = state.groupBy("rid").agg(F.collect_set(F.when(F.col("whole"), F.col("context"))).alias("whole"), F.collect_set(F.when(F.col("own") == F.col("rid"), F.col("context"))).alias("own"))
     per = space.written(per, "contexts")
+    release(space.spark)
 
     placed = src.select("rid", "key", "text").repartition(shuffle_partitions(space.spark), "rid")
     sent = _windows(placed.join(per.where(F.size("own") > 0).select("rid", "own").hint("merge"), "rid").select("rid", "text", "own"), n, k)
     sent = space.written(sent, "windows")
+    release(space.spark)
     again = sent.groupBy("w1", "w2").agg(F.count("*").alias("times")).where("times > 1").select("w1", "w2")
     marks = sent.join(again.hint("merge"), ["w1", "w2"], "left_semi").groupBy("rid").agg(F.collect_set("w1").alias("marks"))
     last = placed.join(per.select("rid", "whole").hint("merge"), "rid", "left").join(marks.hint("merge"), "rid", "left")
