@@ -10,7 +10,8 @@ stands for up to n - k + 1 windows, so the index holds about 2 / (n - k + 2) has
 * Only a repeated fingerprint can stand for a repeated window.  Its occurrences are told apart by the hash of all
   words that any window around it can hold.  Equal contexts repeat whole; of each context under a fingerprint with
   several, one text sends the windows themselves.
-* Verification: those windows are compared by two independent 64-bit hashes of their word sequence.
+* Verification: those windows are compared by two 64-bit hashes of their word sequence, both made from 64-bit hashes of
+  the words; contexts, and the windows that a text is then rid of, are told apart by one.
 
 All joins are on hashes of which one side is unique, so a hot passage is split by adaptive skew handling; counts are
 aggregated before they are shuffled; one text's results are the only group that is gathered.
