@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Entries of a worker's memo of encoded words, about, and of pairs: bounds of its memory.
-MEMO = 500_000
+MEMO = 200_000
 
 
 class Codec:
