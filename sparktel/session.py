@@ -12,9 +12,16 @@ from pyspark.sql import SparkSession
 _ROOT = Path(__file__).resolve().parent
 
 
+#: Bytes of an Arrow batch between the JVM and Python, unless the session says otherwise: both hold several at once.
+ARROW_BYTES = 8 << 20
+_BATCH, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once a context, unless PYTHONPATH already names its place."""
+    """Send this package to the executors, once a context, unless PYTHONPATH already names its place; bound Arrow batches."""
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH, None) == _DEFAULT:
+        spark.conf.set(_BATCH, str(ARROW_BYTES))
     if getattr(sc, "_sparktel_shipped", False) or str(_ROOT.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
         return
     path = Path(tempfile.mkdtemp(prefix="sparktel-")) / "sparktel.zip"
