@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktel.llm import texthash as th
-from sparktel.llm.common import fits_broadcast, written
+from sparktel.llm.common import fits_broadcast, tidied, written
 
 ORDERS = (2, 3, 4)
 WIDTH = 1 << 16
@@ -115,7 +115,7 @@ def draw(docs: DataFrame, key: Column, label: Column, body: Column, held_out: Co
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(2).filter(keep), pa.array(packed, pa.binary())], ["label", "h", "packed"])
 
     got: dict[str, list[tuple[int, bytes]]] = {}
-    for r in rows.select("label", "text", "h").mapInArrow(run, "label string, h bigint, packed binary").toLocalIterator():
+    for r in rows.select("label", "text", "h").mapInArrow(tidied(run), "label string, h bigint, packed binary").toLocalIterator():
         got.setdefault(r["label"], []).append((r["h"], bytes(r["packed"])))
     return [(k, p) for k in sorted(got) for _, p in sorted(got[k])[:per_label]]
 
@@ -181,7 +181,7 @@ def predict(docs: DataFrame, model: Model, body: str = "text", names: tuple[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, flags = held.value, np.zeros((ROWS, len(ORDERS), WIDTH), np.uint8)
         for batch in batches:
-            data, offs = th.string_buffers(batch.column(batch.num_columns - 1))
+            data, offs = th.string_buffers(batch.column(at_text))
             best, score = np.full(batch.num_rows, -1), np.zeros(batch.num_rows)
             for lo in range(0, batch.num_rows, ROWS):
                 at = [r for r in range(lo, min(lo + ROWS, batch.num_rows)) if m.labels and has_letter(data[offs[r] : offs[r + 1]])]
@@ -193,8 +193,11 @@ def predict(docs: DataFrame, model: Model, body: str = "text", names: tuple[str,
                     best[at] = margin.argmax(axis=1)
                     score[at] = e.max(axis=1) / e.sum(axis=1)
             label = pa.array([m.labels[i] if i >= 0 else UND for i in best.tolist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], label, pa.array(score)], [*[f"c{i}" for i in range(batch.num_columns - 1)], "l", "s"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], label, pa.array(score)], [*[f"c{i}" for i in range(width)], "l", "s"])
 
-    plain = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)], docs[body].cast("string").alias("b"))
+    # The text travels once where it is a column of strings already.
+    width, sent = len(docs.columns), [docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    at_text = docs.columns.index(body) if docs.schema[body].dataType.simpleString() == "string" else width
+    plain = docs.select(*sent, *[docs[body].cast("string").alias("b")] * (at_text == width))
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
-    return plain.mapInArrow(run, f"{schema}, l string, s double").toDF(*docs.columns, *names)
+    return plain.mapInArrow(tidied(run), f"{schema}, l string, s double").toDF(*docs.columns, *names)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparktel.llm import texthash as th
-from sparktel.llm.common import Workspace, fits_broadcast, release, row_key, shuffle_partitions, written
+from sparktel.llm.common import Workspace, fits_broadcast, release, row_key, shuffle_partitions, tidied, written
 
 #: Holders above which a shingle is moved behind; how many of those are known by the last order at most, the most frequent ones, and bits of a slot of theirs.
 LEAST_HOLDERS, MOST_FREQUENT, FREQUENT_BITS = 16, 1 << 18, 22
@@ -131,7 +131,7 @@ def _scan(src: DataFrame, kind: str, n: int, bits: int) -> DataFrame:
             part = at[i : i + (1 << 16)]
             yield pa.RecordBatch.from_arrays([*[pa.nulls(len(part), k) for k in kinds[:5]], pa.array(part), pa.array(counts[part])], names)
 
-    return src.select("key", "rid", "text").mapInArrow(run, f"key {kind}, rid bigint, cls bigint, size int, parts array<bigint>, slot int, n bigint")
+    return src.select("key", "rid", "text").mapInArrow(tidied(run), f"key {kind}, rid bigint, cls bigint, size int, parts array<bigint>, slot int, n bigint")
 
 
 def _ranks(counts: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +160,7 @@ def _postings(docs: DataFrame, n: int, percent: int, bits: int, sketch) -> DataF
                 spread = np.where(hot[slot[order]], (cls[row] % np.uint64(PARTS)).astype(np.int32) + 1, 0)
                 yield pa.RecordBatch.from_arrays([pa.array(th.signed(hashes[order])), pa.array(spread.astype(np.int32)), pa.array(th.signed(cls[row])), pa.array(size[row].astype(np.int32)), pa.array(pos.astype(np.int32))], ["token", "part", "cls", "size", "pos"])
 
-    return docs.select("text").mapInArrow(run, "token bigint, part int, cls bigint, size int, pos int")
+    return docs.select("text").mapInArrow(tidied(run), "token bigint, part int, cls bigint, size int, pos int")
 
 
 def _late(space: Workspace, prefixes: DataFrame) -> np.ndarray:
@@ -188,7 +188,7 @@ def _sets(texts: DataFrame, n: int) -> DataFrame:
                 edge = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(edge), pa.array(th.signed(hashes)))], ["cls", "tokens"])
 
-    return texts.select("cls", "text").mapInArrow(run, "cls bigint, tokens array<bigint>")
+    return texts.select("cls", "text").mapInArrow(tidied(run), "cls bigint, tokens array<bigint>")
 
 
 def components(spark: SparkSession, edges: DataFrame, name: str = "labels", space: Workspace | None = None) -> DataFrame:

@@ -23,10 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from sparktel.llm.common import tidied
+
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Entries of a worker's memo of encoded words, about, and of pairs: bounds of its memory.
-MEMO = 200_000
+MEMO = 300_000
 
 
 class Codec:
@@ -67,7 +69,8 @@ class Codec:
         for piece in self.ids:
             self.machine.add_word(piece, len(piece))
         self.machine.make_automaton()
-        self.pairs: dict[str, bool] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.npairs = 0
         self.whole: dict[str, bool] = {}
         self.memo: dict[str, str] = {}
         self.old: dict[str, str] = {}
@@ -98,9 +101,11 @@ class Codec:
 
     def compatible(self, a: str, b: str) -> bool:
         """Whether merging the text of a and b anew gives a and b."""
-        if len(self.pairs) > MEMO:
+        if self.npairs > MEMO:
             self.pairs.clear()
-        ok = self.pairs[f"{a}\n{b}"] = self.merged(a + b) == [a, b]
+            self.npairs = 0
+        ok = self.pairs.setdefault(a, {})[b] = self.merged(a + b) == [a, b]
+        self.npairs += 1
         return ok
 
     def usable(self, piece: str) -> bool:
@@ -120,16 +125,18 @@ class Codec:
             longest[end - size + 1] = size
         failed = bytearray(n + 1)  # tokens that end here lead nowhere
         out: list[str] = []
-        before, at = "", 0
+        nothing: dict[str, bool] = {}
+        before, after, at = "", nothing, 0
         length = longest[0]
         while True:
             while length > 0:
                 piece = text[at : at + length]
                 if (length == 1 or piece in ids) and not failed[at + length]:
                     if before:
-                        ok = pairs.get(before + "\n" + piece)
+                        ok = after.get(piece)
                         if ok is None:
                             ok = compatible(before, piece)
+                            after = pairs.get(before, nothing)
                     else:
                         ok = usable(piece)
                     if ok:
@@ -138,6 +145,7 @@ class Codec:
             if length > 0:
                 out.append(piece)
                 before, at = piece, at + length
+                after = pairs.get(before, nothing)
                 if at == n:
                     return out
                 length = longest[at]
@@ -149,6 +157,7 @@ class Codec:
                 at -= length
                 length -= 1
                 before = out[-1] if out else ""
+                after = pairs.get(before, nothing)
 
     def encode_chunk(self, chunk: str) -> list[int]:
         out: list[int] = []
@@ -216,6 +225,10 @@ class Codec:
             if (found := old.get(w)) is not None:
                 memo[w] = found
                 continue
+            tokens = self.tokens(SPACE + w)
+            if None not in (ids := list(map(self.ids.get, tokens))):  # pieces alone decode to themselves
+                memo[w] = " ".join(map(str, ids))
+                continue
             ids = self.encode_chunk(SPACE + w)
             if "".join(self.decode_raw(ids)) == SPACE + w:
                 memo[w] = " ".join(map(str, ids))
@@ -271,8 +284,8 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", body: str = "text", with_text: bool = True) -> DataFrame:
-    """Per row: key, n_tokens, ids (array<int>, end id last) and, with_text, decoded.
+def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", body: str = "text", with_text: bool = True, with_digest: bool = False) -> DataFrame:
+    """Per row: key, n_tokens, ids (array<int>, end id last) and, with_text, decoded and, with_digest, decoded_sha256.
 
     A null text is empty: only the end id, decoded ''.  A null key stays null; repeated rows give repeated results; an
     empty table gives an empty one; only key and body are read, so no other column can clash.  `model` is a path that
@@ -286,10 +299,14 @@ def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", body: str
                 part = batch.slice(lo, 512)
                 rows = [c.document(t) for t in part.column(1).to_pylist()]
                 cols = [part.column(0), pa.array([np.fromstring(r[0], np.int32, sep=" ") for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.int64())]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array([r[2] for r in rows], pa.string())] * with_text, ["k", "ids", "n_tokens", "decoded"][: 3 + with_text])
+                if with_text:
+                    cols.append(pa.array([r[2] for r in rows], pa.string()))
+                if with_digest:
+                    cols.append(pa.array([hashlib.sha256(r[2].encode()).hexdigest() for r in rows], pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, ["k", "ids", "n_tokens", *["decoded"] * with_text, *["decoded_sha256"] * with_digest])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(docs[key].alias("k"), docs[body].cast("string").alias("b")).mapInArrow(run, f"k {kind}, ids array<int>, n_tokens bigint" + ", decoded string" * with_text)
+    out = docs.select(docs[key].alias("k"), docs[body].cast("string").alias("b")).mapInArrow(tidied(run), f"k {kind}, ids array<int>, n_tokens bigint" + ", decoded string" * with_text + ", decoded_sha256 string" * with_digest)
     return out.withColumnRenamed("k", key)
 
 
@@ -306,5 +323,5 @@ def digest_documents(docs: DataFrame, model: str, key: str = "doc_id", body: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r[1] for r in rows], pa.int64()), pa.array([sha(r[0]) for r in rows]), pa.array([sha(r[2]) for r in rows])], ["k", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(docs[key].alias("k"), docs[body].cast("string").alias("b")).mapInArrow(run, f"k {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    out = docs.select(docs[key].alias("k"), docs[body].cast("string").alias("b")).mapInArrow(tidied(run), f"k {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     return out.withColumnRenamed("k", key)

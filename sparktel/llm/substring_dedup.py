@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktel.llm import texthash as th
-from sparktel.llm.common import Workspace, release, remove, row_key, shuffle_partitions, work_dir
+from sparktel.llm.common import Workspace, release, remove, row_key, shuffle_partitions, tidied, work_dir
 
 
 class RunIndex:
@@ -146,7 +146,7 @@ def _fingerprints(docs: DataFrame, n: int, k: int, with_context: bool) -> DataFr
                 else:
                     yield pa.RecordBatch.from_arrays([pa.array(th.signed(hash_[first])), pa.array(times)], ["hash", "n"])
 
-    return docs.select("rid", "text").mapInArrow(run, "rid bigint, hash bigint, context bigint, n int" if with_context else "hash bigint, n int")
+    return docs.select("rid", "text").mapInArrow(tidied(run), "rid bigint, hash bigint, context bigint, n int" if with_context else "hash bigint, n int")
 
 
 def _lists(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -181,7 +181,7 @@ def _windows(docs: DataFrame, n: int, k: int) -> DataFrame:
                 starts = np.unique(starts[least[starts] == gram])
                 yield pa.RecordBatch.from_arrays([pa.array(rid[lo + w.row[starts]]), pa.array(th.signed(w.grams(n)[starts])), pa.array(th.signed(w.grams(n, other=True)[starts]))], ["rid", "w1", "w2"])
 
-    return docs.select("rid", "text", "own").mapInArrow(run, "rid bigint, w1 bigint, w2 bigint")
+    return docs.select("rid", "text", "own").mapInArrow(tidied(run), "rid bigint, w1 bigint, w2 bigint")
 
 
 def _kept(docs: DataFrame, kind: str, n: int, k: int, with_text: bool) -> DataFrame:
@@ -221,7 +221,7 @@ def _kept(docs: DataFrame, kind: str, n: int, k: int, with_text: bool) -> DataFr
                 cols = [batch.column(0).slice(lo, hi - lo), pa.array(count, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols + [pa.array(text, pa.string())] * with_text, ["key", "n_words", "n_removed", "kept_sha256", "kept_text"][: 4 + with_text])
 
-    return docs.select("key", "text", "whole", "marks").mapInArrow(run, f"key {kind}, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * with_text)
+    return docs.select("key", "text", "whole", "marks").mapInArrow(tidied(run), f"key {kind}, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * with_text)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", body: str = "text", n: int = 35, k: int = 16, batches: int = 4, fan_in: int = 2, with_text: bool = False) -> DataFrame:

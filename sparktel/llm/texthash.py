@@ -14,7 +14,7 @@ import pyarrow as pa
 
 _U = np.uint64
 #: Bytes of text hashed at once; a single longer text is handled alone.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:
@@ -40,7 +40,7 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 1 << 16, min(2 * len(self.up), 1 << 22))
+            size = -(-n // (1 << 16)) << 16
             for name, b in (("up", self.base), ("down", self.inverse)):
                 p = np.full(size, b, _U)
                 p[0] = 1
