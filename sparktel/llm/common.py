@@ -84,16 +84,34 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """A task's function that afterwards gives the memory it freed back to the system: workers live on between stages."""
+#: What a worker keeps between tasks, by the operator that uses it.
+KEPT: dict[str, dict] = {}
+
+
+def forget(owner: str) -> None:
+    """Drop what operators other than the owner keep in this process."""
+    for name, kept in KEPT.items():
+        if name != owner:
+            kept.clear()
+
+
+def give_back() -> None:
+    """Return freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidied(run: Callable[[Iterator], Iterator], owner: str = "") -> Callable[[Iterator], Iterator]:
+    """A task's function that first drops what other operators keep, and afterwards gives freed memory back: workers live
+    on between stages."""
 
     def tidy(batches: Iterator) -> Iterator:
+        forget(owner)
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # another C library
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return tidy
 

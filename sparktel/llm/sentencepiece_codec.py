@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sparktel.llm.common import tidied
+from sparktel.llm.common import KEPT, tidied
 
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -276,6 +276,7 @@ def utf8(raw: bytes) -> str:
 
 
 _CODECS: dict[str, Codec] = {}
+KEPT["sentencepiece"] = _CODECS
 
 
 def codec(path: str) -> Codec:
@@ -306,7 +307,7 @@ def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", body: str
                 yield pa.RecordBatch.from_arrays(cols, ["k", "ids", "n_tokens", *["decoded"] * with_text, *["decoded_sha256"] * with_digest])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(docs[key].alias("k"), docs[body].cast("string").alias("b")).mapInArrow(tidied(run), f"k {kind}, ids array<int>, n_tokens bigint" + ", decoded string" * with_text + ", decoded_sha256 string" * with_digest)
+    out = docs.select(docs[key].alias("k"), docs[body].cast("string").alias("b")).mapInArrow(tidied(run, "sentencepiece"), f"k {kind}, ids array<int>, n_tokens bigint" + ", decoded string" * with_text + ", decoded_sha256 string" * with_digest)
     return out.withColumnRenamed("k", key)
 
 
@@ -323,5 +324,5 @@ def digest_documents(docs: DataFrame, model: str, key: str = "doc_id", body: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r[1] for r in rows], pa.int64()), pa.array([sha(r[0]) for r in rows]), pa.array([sha(r[2]) for r in rows])], ["k", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(docs[key].alias("k"), docs[body].cast("string").alias("b")).mapInArrow(tidied(run), f"k {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    out = docs.select(docs[key].alias("k"), docs[body].cast("string").alias("b")).mapInArrow(tidied(run, "sentencepiece"), f"k {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     return out.withColumnRenamed("k", key)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from sparktel.llm import files
 from sparktel.llm import texthash as th
-from sparktel.llm.common import shuffle_partitions, tidied, work_dir, written
+from sparktel.llm.common import KEPT, shuffle_partitions, tidied, work_dir, written
 
 MAGIC = b"SPTLWM1\n"
 BLOCK_BITS = 1 << 16
@@ -352,6 +352,7 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+KEPT["tokens"] = _ENCODERS
 
 
 def encoder(path: str) -> Encoder:
@@ -404,7 +405,7 @@ def write_tokens(docs: DataFrame, model: str, folder: str, end_id: int, key: str
         if keys:
             yield flush()
 
-    shards = written(spark, src.mapInArrow(tidied(run), "part int, seq int, path string, n_tokens bigint, n_docs bigint"), "token-manifest")
+    shards = written(spark, src.mapInArrow(tidied(run, "tokens"), "part int, seq int, path string, n_tokens bigint, n_docs bigint"), "token-manifest")
     before, totals = {}, 0
     for r in shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect():  # a row a partition
         before[r["part"]], totals = totals, totals + r["n"]
@@ -432,7 +433,7 @@ def read_tokens(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
 
     spark: SparkSession = manifest.sparkSession
     rows = manifest.select("path", "start").repartition(max(shuffle_partitions(spark), 1))
-    return rows.mapInArrow(tidied(run), "key bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids)
+    return rows.mapInArrow(tidied(run, "tokens"), "key bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids)
 
 
 def encode_store_read(docs: DataFrame, model: str, end_id: int = 2, key: str = "doc_id", body: str = "text") -> DataFrame:
