@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from sparktel.functions import attributes as A
 from sparktel.functions import hashing as H
 from sparktel.functions import sketch as S
+from sparktel.functions.prints import of_batch
 from sparktel.operators.logclusters import with_clusters
 from sparktel.operators.logtokens import with_tokens
 
@@ -99,10 +101,6 @@ def _tags(first: list[tuple[str, Column]], *arrays: Column) -> Column:
     return F.concat(F.array(*[F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in first]), *arrays)
 
 
-def _of_map(m: Column, prefix: str) -> Column:
-    return F.transform(F.map_entries(m), lambda e: F.struct(F.concat(F.lit(prefix), e["key"]).alias("k"), e["value"].alias("v")))
-
-
 def metrics(rows: DataFrame, customer_id: str) -> DataFrame:
     """METRIC_SCHEMA rows to the canonical metric table: the fixed columns, then maps resource and attr."""
     name, kind = A.normalize_name(F.col("name")), A.metric_type(F.col("kind"))
@@ -156,10 +154,17 @@ def logs(rows: DataFrame, customer_id: str, mode: str = "cluster") -> DataFrame:
     )
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _span_prints(trace: pa.Array, resource: pa.Array, scope: pa.Array, attr: pa.Array) -> pa.Array:
+    """hashing.fingerprints of a span's tags: type, trace id and the attributes."""
+    kind = pa.repeat("traces", len(trace))
+    return of_batch({"chq_telemetry_type": kind, "span_trace_id": trace}, {"resource_": resource, "scope_": scope, "attr_": attr})
+
+
 def spans(rows: DataFrame, customer_id: str, as_text: bool = True) -> DataFrame:
     """SPAN_SCHEMA rows to the canonical span table; the fingerprint set as text, or as array<bigint>."""
     trace = A.hex_id(F.col("trace_id"), "")
-    prints = H.fingerprints(_tags([("chq_telemetry_type", F.lit("traces")), ("span_trace_id", trace)], _of_map(F.col("resource"), "resource_"), _of_map(F.col("scope"), "scope_"), _of_map(F.col("attr"), "attr_")))
+    prints = _span_prints(trace, *map(F.col, ("resource", "scope", "attr")))
     ms = lambda c: F.when(F.col(c) != 0, A.millis(F.col(c))).otherwise(F.unix_millis(F.current_timestamp()))
     return rows.select(
         F.lit(customer_id).alias("chq_customer_id"), F.lit("traces").alias("chq_telemetry_type"), ms("start_ns").alias("chq_timestamp"),

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import gzip
 import json
+import struct
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +22,7 @@ from sparktel.sources import readers
 from sparktel.sources.files import write_bytes
 
 
-def write_requests(rows: DataFrame, encode: Callable[[list[dict]], bytes], name: str, packed: bool = False) -> list[str]:
+def write_requests(rows: DataFrame, encode: Callable[[pa.RecordBatch], bytes], name: str, packed: bool = False) -> list[str]:
     """One OTLP file for each Arrow batch of rows, in the shared folder; the paths, of finished tasks only.
 
     packed: gzip files whose second member isn't part of the request.
@@ -29,7 +31,7 @@ def write_requests(rows: DataFrame, encode: Callable[[list[dict]], bytes], name:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw, path = encode(b.to_pylist()), f"{folder}/{uuid.uuid4().hex}.binpb{'.gz' if packed else ''}"
+            raw, path = encode(b), f"{folder}/{uuid.uuid4().hex}.binpb{'.gz' if packed else ''}"
             write_bytes(path, gzip.compress(raw, 1) + gzip.compress(b"not read") if packed else raw)
             yield pa.RecordBatch.from_pydict({"path": [path]})
 
@@ -45,12 +47,12 @@ def _put(target, key: str, value) -> None:
 # -- metrics -----------------------------------------------------------------------------------------------------
 
 
-def _encode_metrics(rows: list[dict]) -> bytes:
+def _encode_metrics(batch: pa.RecordBatch) -> bytes:
     """A metric of each kind by turns; distributions without a count among them."""
     from sparktel.sources.descriptors import messages
 
     q, resources = messages()["Metrics"](), {}
-    for r in rows:
+    for r in batch.to_pylist():
         if (rm := resources.get(r["service"])) is None:
             rm = resources[r["service"]] = q.resource_metrics.add()
             for k, v in (("service.name", r["service"]), ("host.name", "left out"), ("k8s.pod.name", "")):
@@ -99,11 +101,11 @@ def otlp_metrics_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- logs --------------------------------------------------------------------------------------------------------
 
 
-def _encode_logs(rows: list[dict]) -> bytes:
+def _encode_logs(batch: pa.RecordBatch) -> bytes:
     from sparktel.sources.descriptors import messages
 
     q, resources = messages()["Logs"](), {}
-    for r in rows:
+    for r in batch.to_pylist():
         if (rl := resources.get(r["service"])) is None:
             rl = resources[r["service"]] = q.resource_logs.add()
             _put(rl.resource.attributes, "service.name", r["service"])
@@ -152,23 +154,39 @@ def otlp_logs_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- traces ------------------------------------------------------------------------------------------------------
 
 
-def _encode_spans(rows: list[dict]) -> bytes:
+def _framed(tag: bytes, body: bytes) -> bytes:
+    """A field of bytes on the wire."""
+    n, size = len(body), b""
+    while n > 127:
+        size, n = size + bytes([n & 127 | 128]), n >> 7
+    return tag + size + bytes([n]) + body
+
+
+def _encode_spans(batch: pa.RecordBatch) -> bytes:
+    """Spans by service.  What many spans share is encoded once, ids and times by hand: the order of a message's fields is free."""
     from sparktel.sources.descriptors import messages
 
-    q, resources = messages()["Traces"](), {}
-    for r in rows:
-        if (rs := resources.get(r["service"])) is None:
-            rs = resources[r["service"]] = q.resource_spans.add()
-            _put(rs.resource.attributes, "service.name", r["service"])
-            ss = rs.scope_spans.add()
-            ss.scope.name, ss.scope.version = "scope", "1"
-        ident = lambda s: b"" if s == "" else (255 if s == "r" else int(s)).to_bytes(8, "big")
-        x = rs.scope_spans[0].spans.add(trace_id=r["trace"].to_bytes(16, "big"), span_id=ident(r["span"]), parent_span_id=ident(r["parent"]), name=r["name"], kind=r["kind"], start_time_unix_nano=r["start_ns"], end_time_unix_nano=r["end_ns"])
-        x.status.code = r["status"]
-        if r["status"] == 2:
+    def shared(name: str, kind: int, status: int, root: bool) -> bytes:
+        x = messages()["Span"](name=name, kind=kind)
+        x.status.code = status
+        if status == 2:
             x.status.message = "bad"
-        _put(x.attributes, "Role", "root" if r["parent"] == "" else "child")
-    return q.SerializeToString()
+        _put(x.attributes, "Role", "root" if root else "child")
+        return x.SerializeToString()
+
+    shared, services, packed = lru_cache(maxsize=None)(shared), {}, struct.Struct("<BQBQ").pack
+    ident = lru_cache(maxsize=1 << 10)(lambda tag, s: b"" if s == "" else tag + (255 if s == "r" else int(s)).to_bytes(8, "big"))
+    columns = [batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("service", "trace", "span", "parent", "name", "kind", "status", "start_ns", "end_ns")]
+    for service, trace, span, parent, name, kind, status, start, end in zip(*columns, strict=True):
+        x = b"\x0a\x10" + trace.to_bytes(16, "big") + ident(b"\x12\x08", span) + ident(b"\x22\x08", parent) + packed(0x39, start, 0x41, end)
+        services.setdefault(service, []).append(_framed(b"\x12", x + shared(name, kind, status, parent == "")))
+    out = []
+    for service, spans_of in services.items():
+        rs, ss = messages()["ResourceSpans"](), messages()["ScopeSpans"]()
+        _put(rs.resource.attributes, "service.name", service)
+        ss.scope.name, ss.scope.version = "scope", "1"
+        out.append(_framed(b"\x0a", rs.SerializeToString() + _framed(b"\x12", ss.SerializeToString() + b"".join(spans_of))))
+    return b"".join(out)
 
 
 _IDENT = "CASE {0} WHEN '' THEN '' WHEN '0' THEN '' WHEN 'r' THEN '00000000000000ff' ELSE lower(printf('%016x', TRY_CAST({0} AS BIGINT))) END"

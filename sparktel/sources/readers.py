@@ -76,6 +76,22 @@ def decode_files(spark: SparkSession, signal: str, inputs: list[Input]) -> DataF
     return table.repartition(max(1, min(len(inputs), 10_000)), "file").mapInArrow(run, schema_text)
 
 
+def span_attribute_names(spark: SparkSession, inputs: list[Input]) -> dict[str, list[str]]:
+    """What flatten.attribute_names gives for the rows of trace files, from their attributes alone."""
+    ship(spark)
+    table = spark.createDataFrame([(i, x.path) for i, x in enumerate(inputs)], "file int, path string")
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[tuple[str, str]] = set()
+        for part in parts:
+            for path in part.column("path").to_pylist():
+                found |= decode.span_names(decode.inflate(path, read_bytes(path)))
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n for n, _ in found], pa.string()), "k": pa.array([k for _, k in found], pa.string())})
+
+    rows = table.repartition(max(1, min(len(inputs), 10_000)), "file").mapInArrow(run, "n string, k string").distinct().collect()
+    return {n: sorted(r["k"] for r in rows if r["n"] == n) for n in ("resource", "scope", "attr")}
+
+
 def read_metrics(spark: SparkSession, path: str, customer_id: str, flat: bool = True) -> DataFrame:
     """Metric rows of a path, pattern or list; flat: attributes as columns, else as maps."""
     df = enrich.metrics(decode_files(spark, "metrics", [Input(p) for p in parse_list(spark, path)]), customer_id)
@@ -88,8 +104,9 @@ def read_logs(spark: SparkSession, path: str, customer_id: str, file_metadata: s
 
 
 def read_traces(spark: SparkSession, path: str, customer_id: str, flat: bool = True) -> DataFrame:
-    df = enrich.spans(decode_files(spark, "traces", [Input(p) for p in parse_list(spark, path)]), customer_id)
-    return flatten_attributes(df) if flat else df
+    inputs = [Input(p) for p in parse_list(spark, path)]
+    df = enrich.spans(decode_files(spark, "traces", inputs), customer_id)
+    return flatten_attributes(df, span_attribute_names(spark, inputs)) if flat else df
 
 
 def decode_content(df: DataFrame, signal: str, metadata: dict[str, dict[str, str]] | None = None) -> DataFrame:

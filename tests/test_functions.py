@@ -2,6 +2,7 @@
 
 import math
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from sparktel.functions import attributes as A
 from sparktel.functions import hashing as H
 from sparktel.functions import sketch as S
+from sparktel.functions.prints import of_batch
 
 
 def one(spark, **cols):
@@ -69,6 +71,24 @@ def test_fingerprint_sets(spark):
     assert one(spark, t=H.fingerprint_text(F.array(F.lit(-1), F.lit(2))))["t"] == "[-1,2]"
 
 
+def test_fingerprint_sets_of_batches(spark):
+    """Arrow batches give what the expression gives, whatever the texts; rows of very different width are sorted another way."""
+    texts = ["", "a", "ab", "abc", "aaaa", "0123456789abcdef" * 2, "größe", "日本語テキスト", "\U0001f600x\U0001f600y", "a\0b", "x7" * 800]
+    rows = [(t, {"service_name": t, "k8s_cluster_name": texts[3 * i % len(texts)], "file": u, "ü": "1"}, {}, {"Aö": t, "b": u}) for i, t in enumerate(texts) for u in texts]
+    df = spark.createDataFrame(rows, "trace string, resource map<string,string>, scope map<string,string>, attr map<string,string>")
+    pairs = lambda m: F.transform(F.map_entries(m), lambda e: F.struct(F.concat(F.lit(f"{m}_"), e["key"]).alias("k"), e["value"].alias("v")))
+    both = tags(chq_telemetry_type="traces"), F.array(F.struct(F.lit("span_trace_id").alias("k"), F.col("trace").alias("v")))
+    want = [r["p"] for r in df.select(H.fingerprints(F.concat(*both, *map(pairs, ("resource", "scope", "attr")))).alias("p")).collect()]
+    held = df.toArrow().combine_chunks()
+    column = {c: held[c].combine_chunks() for c in held.column_names}
+    narrow = [i for i, r in enumerate(rows) if max(len(r[0]), len(r[1]["k8s_cluster_name"])) < 40]
+    for at in (range(len(rows)), range(len(rows) - 1, len(rows)), narrow, []):
+        got = of_batch({"chq_telemetry_type": pa.repeat("traces", len(at)), "span_trace_id": column["trace"].take(pa.array(at, pa.int32()))}, {f"{c}_": column[c].take(pa.array(at, pa.int32())) for c in ("resource", "scope", "attr")})
+        assert got.to_pylist() == [want[i] for i in at]
+    sliced = of_batch({"chq_telemetry_type": pa.repeat("traces", 9), "span_trace_id": column["trace"].slice(20, 9)}, {f"{c}_": column[c].slice(20, 9) for c in ("resource", "scope", "attr")})
+    assert sliced.to_pylist() == want[20:29]
+
+
 def test_names(spark):
     cases = {"service.name": "service_name", "http.status-code": "http_status_code", "Foo..Bar": "foo__bar", "...": "___", "123abc": "123abc", "é": "__", "": ""}
     rows = spark.createDataFrame(list(cases.items()), "x string, want string").select("want", A.normalize_name(F.col("x")).alias("got")).collect()

@@ -3,13 +3,15 @@
 import gzip
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sparktel.functions import attributes as A
 from sparktel.functions import hashing as H
 from sparktel.functions.sketch import Sketch
-from sparktel.operators.flatten import flatten_attributes
+from sparktel.operators.flatten import attribute_names, flatten_attributes
+from sparktel.plans import otlp
 from sparktel.sources import decode, inputs
 from sparktel.sources import readers as R
 from sparktel.sources.descriptors import messages
@@ -144,6 +146,43 @@ def test_traces(spark, folder):
     assert rows.loc["root"].chq_fingerprint.startswith("[") and rows.loc["odd"].chq_timestamp > 0 and rows.loc["odd"].span_status_code == "STATUS_CODE_UNSET"
 
 
+def test_trace_names_without_rows(spark, tmp_path, monkeypatch):
+    """Columns come from the attributes alone, and are those of the rows; no fingerprint is hashed byte by byte in the plan."""
+    q = messages()["Traces"]()
+    attribute(q.resource_spans.add().resource, "no.span", "x")
+    rs = q.resource_spans.add()
+    attribute(rs.resource, "Service.Name", "svc")
+    attribute(rs.scope_spans.add().scope, "no.span.here", "x")
+    ss = rs.scope_spans.add()
+    attribute(ss.scope, "Build", True)
+    for pairs in ((("a.b", ""), ("_hidden", "x")), (("a.b", "later"), ("A.b", "again"), ("n", 0)), ()):
+        s = ss.spans.add(name="s")
+        for k, v in pairs:
+            attribute(s, k, v)
+    (tmp_path / "t.binpb").write_bytes(q.SerializeToString())
+    (tmp_path / "u.binpb").write_bytes(traces_payload())
+    paths = [inputs.Input(str(tmp_path / f)) for f in ("t.binpb", "u.binpb")]
+    want = attribute_names(R.decode_files(spark, "traces", paths))
+    assert want == {"resource": ["service_name"], "scope": ["build"], "attr": ["a_b", "n"]}
+    monkeypatch.setattr("sparktel.operators.flatten.attribute_names", None)
+    df = R.read_traces(spark, f"{tmp_path}/*.binpb", "c")
+    assert R.span_attribute_names(spark, paths) == want and {f"{n}_{k}" for n in want for k in want[n]} <= set(df.columns)
+    assert "aggregate(" not in df._jdf.queryExecution().optimizedPlan().toString() and df.count() == 6
+
+
+def test_spans_on_the_wire():
+    """Spans encoded by hand are those that protobuf reads, large sizes too."""
+    rows = [{"service": "FO"[i % 2], "trace": i << 40, "span": ("r", "7", "0")[i % 3], "parent": ("", "r", "r")[i % 3], "name": "n" * (i % 200), "kind": i % 6, "status": i % 3, "start_ns": i, "end_ns": (1 << 63) - 1 - i} for i in range(1000)]
+    q = messages()["Traces"].FromString(otlp._encode_spans(pa.RecordBatch.from_pylist(rows)))
+    got = [(r.resource.attributes[0].value.string_value, r.scope_spans[0].scope.name, r.scope_spans[0].scope.version, s) for r in q.resource_spans for s in r.scope_spans[0].spans]
+    assert [len(r.scope_spans) for r in q.resource_spans] == [1, 1] and len(got) == len(rows)
+    ident = {"": b"", "r": (255).to_bytes(8, "big"), "7": (7).to_bytes(8, "big"), "0": bytes(8)}
+    for r, (service, scope, version, s) in zip(sorted(rows, key=lambda r: r["service"]), sorted(got, key=lambda g: (g[0], g[3].start_time_unix_nano)), strict=True):
+        assert (service, scope, version, s.trace_id, s.span_id, s.parent_span_id) == (r["service"], "scope", "1", r["trace"].to_bytes(16, "big"), ident[r["span"]], ident[r["parent"]])
+        assert (s.name, s.kind, s.start_time_unix_nano, s.end_time_unix_nano, s.status.code, s.status.message) == (r["name"], r["kind"], r["start_ns"], r["end_ns"], r["status"], "bad" if r["status"] == 2 else "")
+        assert [(a.key, a.value.string_value) for a in s.attributes] == [("Role", "root" if r["parent"] == "" else "child")]
+
+
 def test_flatten_collisions(spark):
     df = spark.sql("SELECT 'n' AS scope_name, map('name', 'x') AS scope, map('a', '1') AS attr")
     out = flatten_attributes(df)
