@@ -34,20 +34,20 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(spark, chain=True)
     model = language_id.fit(docs)
     found = language_id.predict(docs, model, names=("_lang", "_score")).where(F.col("_lang") != language_id.UND)
     return found.withColumn("lang", F.coalesce("lang", "_lang")).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(spark, chain=True)
     out = line_dedup.drop_boilerplate(docs, host="source")
     return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(spark, chain=True)
     keyed = docs.withColumn("_key", _key(docs))
     groups = ngram_join.link_components(keyed, key="_key")  # a written table
     out = _without(keyed, groups.where(F.col("_key") != F.col("component_id")))
@@ -57,14 +57,14 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(spark, chain=True)
     keyed = docs.withColumn("_key", _key(docs))
     found = decontamination.decontaminate(keyed, table(spark, sf_dir, "benchmark"), key="_key")
     return _without(keyed, found.where("contaminated")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(spark, chain=True)
     out = sentencepiece_codec.encode_documents(docs, tokenizer("piece_bpe_32k.model"), with_text=False, with_digest=True)
     return out.select("doc_id", "n_tokens", "ids", "decoded_sha256")
 
@@ -86,7 +86,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The last stage's input stays, as its result is computed from it when it is asked for.
     """
-    ship(spark)
+    ship(spark, chain=True)
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = work_dir(spark, name)

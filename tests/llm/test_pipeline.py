@@ -8,6 +8,8 @@ import pytest
 
 import corpus_pipeline
 import sentencepiece
+from conftest import SF
+from sparktel import session
 from sparktel.llm.queries import tokenizer
 from test_text_ops import brute_components, brute_hits, corpus
 
@@ -89,3 +91,22 @@ def test_clean_documents_stay(spark, tmp_path):
     spark.createDataFrame([(1, "quite another text than any of these, long enough to be a window of words")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = {x["doc_id"]: x["decoded_sha256"] for x in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in texts}
+
+
+def test_small_batches(spark):
+    """Every stage, and the result that is computed later, moves Arrow batches of the smaller bound; a bound that the session sets stays."""
+    name, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    before = spark.conf.get(name)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(name, default)
+            stage(spark, docs.limit(5), SF)
+            assert int(spark.conf.get(name)) == session.CHAIN_ARROW_BYTES < session.ARROW_BYTES
+        session.ship(spark)
+        assert int(spark.conf.get(name)) == session.CHAIN_ARROW_BYTES
+        spark.conf.set(name, "12345678")
+        session.ship(spark, chain=True)
+        assert spark.conf.get(name) == "12345678"
+    finally:
+        spark.conf.set(name, before)
